@@ -139,9 +139,12 @@ def fit(texts: Sequence[str], labels: Sequence[str], landmarks: int = LANDMARKS,
     return Model(languages, slot, weights, target.mean(0) - mean @ beta)
 
 
-def trained(samples: DataFrame, text: str = "text", label: str = "lang", key: str = "sample_id") -> Model:
-    rows = samples.filter(F.col(text).isNotNull() & F.col(label).isNotNull()).select(key, text, label).orderBy(key).limit(SAMPLE_ROWS).collect()
-    rows = [(r[1], label_language(r[2]) or r[2]) for r in rows]
+def trained(*samples: DataFrame, text: str = "text", label: str = "lang", key: str = "sample_id") -> Model:
+    """A model of at most ``SAMPLE_ROWS`` rows of each clean sample, the first in the order of their keys."""
+    rows: list[tuple[str, str]] = []
+    for s in samples:
+        got = s.filter(F.col(text).isNotNull() & F.col(label).isNotNull()).select(key, text, label).orderBy(key, text).limit(SAMPLE_ROWS).collect()
+        rows += [(r[1], label_language(r[2]) or r[2]) for r in got]
     return fit([t for t, _ in rows], [y for _, y in rows])
 
 
@@ -198,7 +201,3 @@ def languages(df: DataFrame, key: str, label: str, parts: Column, model: Model)
     rows = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(label).alias("label"), parts.alias("parts"))
     return rows.mapInPandas(run, "item_id bigint, seg_no int, lang string, confidence double, label_lang string")
 
-
-def label_cases(found: DataFrame) -> DataFrame:
-    """``item_id, seg_no, lang``: items whose label names no language or another than the main one, and all deviating parts."""
-    return found.filter((F.col("seg_no") >= 0) | ~F.col("lang").eqNullSafe(F.col("label_lang"))).select("item_id", "seg_no", "lang")

@@ -84,7 +84,7 @@ def same_look_pairs(df: DataFrame, key: str, column: str) -> DataFrame:
 def term_lookalikes(df: DataFrame, key: str, words: Column, terms: DataFrame, term: str) -> DataFrame:
     """``key_a, key_b``: key and index of each word that, outer punctuation aside, looks like a term but differs from it."""
     rows = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key_a"), F.posexplode(words).alias("key_b", "word"))
-    rows = rows.filter(F.col("word").rlike("[^\\x00-\\x7F]"))  # a word of usual characters only looks like itself
+
     core = F.regexp_replace(F.regexp_replace("word", f"^{OUTER}+", ""), f"{OUTER}+$", "")
     rows = rows.withColumn("core", core).filter("core <> ''")
     values = rows.select(F.col("core").alias("value")).distinct()

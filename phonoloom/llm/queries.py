@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phonoloom.llm import lookalike
-from phonoloom.session import table
+from phonoloom.llm import langid, lookalike, pieces, repetition, sentences, subjects
+from phonoloom.session import parallelism, table
 
 
 def _words(c: str = "word_segments"):
@@ -32,5 +32,77 @@ def p4_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.canonical_forms(rows, "word").select("align_id", "word_no", "word", "canonical")
 
 
-QUERIES = {"p4_found": p4_found, "p4_texts": p4_texts, "p4_words": p4_words}
+def _sentence_model(spark: SparkSession, sf_dir: str) -> sentences.Model:
+    return sentences.trained(table(spark, sf_dir, "lang_samples"), table(spark, sf_dir, "subject_samples"))
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows spread evenly for work that is bound by CPU: files may be few, and far larger than their neighbours."""
+    return df.repartition(parallelism(df.sparkSession))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "aligned_transcripts").select("align_id", _words().alias("words"))
+    return sentences.sentence_units(_spread(rows), "align_id", F.col("words"), _sentence_model(spark, sf_dir))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.cut_kinds(_spread(table(spark, sf_dir, "aligned_transcripts").select("align_id", "word_segments")), "align_id", _sentence_model(spark, sf_dir))
+
+
+def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.pieces(_spread(table(spark, sf_dir, "aligned_transcripts").select("align_id", "word_segments")), "align_id", _sentence_model(spark, sf_dir))
+
+
+def _segment_texts():
+    return F.transform("segments", lambda s: s["text"])
+
+
+def _p5(spark: SparkSession, sf_dir: str, found_only: bool) -> DataFrame:
+    documents = _spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    documents = repetition.repetition(documents, "doc_id", F.col("text"), found_only)
+    scripts = _spread(table(spark, sf_dir, "transcripts").select("transcript_id", F.array_join(_segment_texts(), "\n").alias("text")))
+    scripts = repetition.repetition(scripts, "transcript_id", F.col("text"), found_only).distinct()
+    named = lambda df, place: df.select(F.lit(place).alias("place"), "*")
+    return named(documents, "document").unionByName(named(scripts, "transcript"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p5(spark, sf_dir, True).select("place", "item_id")
+
+
+def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p5(spark, sf_dir, False)
+
+
+def p6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = langid.trained(table(spark, sf_dir, "lang_samples"), table(spark, sf_dir, "subject_samples"))
+    documents = _spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    documents = langid.languages(documents, "doc_id", "lang", F.split("text", "\n"), model)
+    scripts = _spread(table(spark, sf_dir, "transcripts").select("transcript_id", "language", _segment_texts().alias("texts")))
+    scripts = langid.languages(scripts, "transcript_id", "language", F.col("texts"), model).distinct()
+    named = lambda df, place: df.select(F.lit(place).alias("place"), "*")
+    return named(documents, "document").unionByName(named(scripts, "transcript"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = p6_languages(spark, sf_dir)
+    return found.filter((F.col("seg_no") >= 0) | ~F.col("lang").eqNullSafe(F.col("label_lang"))).select("place", "item_id", "seg_no", "lang")
+
+
+def p10_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    units = _sentence_model(spark, sf_dir)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = subjects.train(documents, "doc_id", "text", table(spark, sf_dir, "subject_samples"), units)
+    return subjects.subject_shares(_spread(documents), "doc_id", "text", model, units)
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p10_subjects(spark, sf_dir).filter(F.col("share") >= subjects.LEAST_SHARE).select("doc_id", "subject")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (p2_found, p3_found, p3_pieces, p4_found, p4_texts, p4_words, p5_found, p5_shares, p6_found, p6_languages, p10_found, p10_subjects)
+}
 SQL: dict[str, str] = {}
