@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phonoloom.llm import langid, lookalike, pieces, repetition, sentences, subjects
+from phonoloom.llm import langid, lookalike, mixing, pieces, repetition, sentences, subjects, tokens
 from phonoloom.session import parallelism, table
 
 
@@ -90,6 +90,24 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.filter((F.col("seg_no") >= 0) | ~F.col("lang").eqNullSafe(F.col("label_lang"))).select("place", "item_id", "seg_no", "lang")
 
 
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encoded(_spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text")
+
+
+def _mixing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    documents = _spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixing.prepared(documents, table(spark, sf_dir, "mix_targets"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(*_mixing(spark, sf_dir))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes, plan = _mixing(spark, sf_dir)
+    return mixing.shares(mixing.mixed(sizes, plan), plan)
+
+
 def p10_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = _sentence_model(spark, sf_dir)
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -103,6 +121,6 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p2_found, p3_found, p3_pieces, p4_found, p4_texts, p4_words, p5_found, p5_shares, p6_found, p6_languages, p10_found, p10_subjects)
+    for f in (p2_found, p3_found, p3_pieces, p4_found, p4_texts, p4_words, p5_found, p5_shares, p6_found, p6_languages, p8_ids, p9_mix, p9_shares, p10_found, p10_subjects)
 }
 SQL: dict[str, str] = {}

@@ -28,7 +28,7 @@ from phonoloom.llm import sentences as sent
 from phonoloom.llm.forms import bare
 from phonoloom.session import stored
 
-SAMPLE_ROWS, SELF_TRAINING_ROWS, LEAST_SHARE = 5_000, 4_000, 0.25
+SAMPLE_ROWS, SELF_TRAINING_ROWS, LEAST_SHARE = 5_000, 2_500, 0.25
 SHARDS, DIM, RATE = 8, 8, 0.08
 #: Rounds and steps on the samples, and on sentences of documents.
 FIRST, LATER = (6, 15), (4, 25)
