@@ -60,10 +60,15 @@ def starts_upper(c: Column) -> Column:
     return strip(c).rlike(r"^\p{Lu}")
 
 
+def tight(c: Column, spaces: str = r"\s+") -> Column:
+    """Without the blanks before ``, . ! ?``."""
+    return F.regexp_replace(c, f"{spaces}([,.!?])", "$1")
+
+
 def join_words(ws: Column, spaces: str = r"\s+") -> Column:
     """Stripped words with blanks between, without the blanks before ``, . ! ?``."""
     text = F.array_join(F.transform(ws, lambda w: strip(F.coalesce(w, F.lit("")))), " ")
-    return F.regexp_replace(text, f"{spaces}([,.!?])", "$1")
+    return tight(text, spaces)
 
 
 def one_line(c: Column) -> Column:

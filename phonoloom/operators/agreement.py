@@ -15,11 +15,11 @@ from phonoloom.functions.text import ascii_only, lines, normal, strip
 
 def line_pairs(pairs: DataFrame, keys: list[str], text: str, segments: str, language: str) -> DataFrame:
     """``keys, lang, line_no, line, segment``: the zip of a pair's lines and segments, inside the row."""
-    a, b = lines(F.col(text)), F.transform(F.col(segments), lambda s: strip(F.coalesce(s["text"], F.lit(""))))
-    shared = F.least(F.size(a), F.size(b))
-    zipped = F.arrays_zip(F.slice(a, 1, shared).alias("line"), F.slice(b, 1, shared).alias("segment"))
-    lang = F.coalesce(F.col(language), F.lit("UNKNOWN")).alias("lang")
-    return pairs.select(*keys, lang, F.posexplode(zipped).alias("line_no", "z")).select(*keys, "lang", "line_no", "z.line", "z.segment")
+    # One projection after another: each array is made once.
+    rows = pairs.select(*keys, F.coalesce(F.col(language), F.lit("UNKNOWN")).alias("lang"), lines(F.col(text)).alias("a"), F.col(segments).alias("b"))
+    rows = rows.withColumn("shared", F.least(F.size("a"), F.size("b"))).filter("shared > 0")
+    rows = rows.select(*keys, "lang", F.posexplode(F.arrays_zip(F.slice("a", 1, F.col("shared")).alias("line"), F.slice("b", 1, F.col("shared")).alias("s"))).alias("line_no", "z"))
+    return rows.select(*keys, "lang", "line_no", "z.line", strip(F.coalesce(F.col("z.s.text"), F.lit(""))).alias("segment"))
 
 
 def matches(rows: DataFrame, most_edits: int = 0, fold_ascii: bool = False) -> DataFrame:
@@ -28,13 +28,14 @@ def matches(rows: DataFrame, most_edits: int = 0, fold_ascii: bool = False) -> D
     The edit distance is only evaluated where the equality tests fail and the lengths allow it, and it gives up beyond the bound.
     """
     fold = ascii_only if fold_ascii else (lambda c: c)
-    a, b = fold(normal(F.col("line"))), fold(normal(F.col("segment")))
+    rows = rows.withColumns({"_a": normal(F.col("line")), "_b": normal(F.col("segment"))})
     near: Column = F.lit(False)
     if most_edits > 0:
-        near = F.when(F.abs(F.length(a) - F.length(b)) > most_edits, False).otherwise(F.levenshtein(a, b, most_edits).between(0, most_edits))
+        a, b = fold(F.col("_a")), fold(F.col("_b"))
+        near = F.when(F.abs(F.length("_a") - F.length("_b")) > most_edits, False).otherwise(F.levenshtein(a, b, most_edits).between(0, most_edits))
     exact = F.col("line") == F.col("segment")
-    same = F.when(exact, True).when(normal(F.col("line")) == normal(F.col("segment")), True).otherwise(near)
-    return rows.withColumn("is_exact", exact).withColumn("is_norm", same)
+    same = F.when(exact | (F.col("_a") == F.col("_b")), True).otherwise(near)
+    return rows.withColumn("is_exact", exact).withColumn("is_norm", same).drop("_a", "_b")
 
 
 _COUNTS = lambda: (

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phonoloom.functions.numbers import cut_ms
-from phonoloom.functions.text import ends_sentence, join_words, starts_upper
+from phonoloom.functions.text import SENTENCE_END, strip, tight
 
 SENTENCE = "struct<start_ms:bigint,end_ms:bigint,text:string>"
 
@@ -18,33 +18,48 @@ def _present(t: Column) -> Column:
     return t.isNotNull() & ~F.isnan(t)
 
 
-def _pieces(items: Column, last: Column, make) -> Column:
-    """``make(slice)`` of the runs of ``items`` that end at the indexes in ``last``."""
+def _staged(df: DataFrame, **columns) -> DataFrame:
+    """Adds columns one projection after another: a lambda would evaluate an inlined expression once for every element."""
+    for name, make in columns.items():
+        df = df.withColumn(name, make())
+    return df
+
+
+def _pieces(items: str, last: str, make) -> Column:
+    """``make(slice)`` of the runs of the array column ``items`` that end at the indexes in the column ``last``."""
+    before = F.concat(F.array(F.lit(-1)), F.slice(last, 1, F.greatest(F.size(last) - 1, F.lit(0))))
+    cuts = F.arrays_zip(F.col(last).alias("e"), before.alias("b"))
     return F.transform(
-        last,
-        lambda e, j: make(F.slice(items, F.coalesce(F.get(last, j - 1), F.lit(-1)) + 2, e - F.coalesce(F.get(last, j - 1), F.lit(-1)))),
+        F.transform(cuts, lambda c: F.slice(F.col(items), c["b"] + 2, c["e"] - c["b"])),
+        make,
     )
 
 
-def sentences(words: Column) -> Column:
-    """Sentences of timed words: one ends at a word that closes with ``. ! ?`` or that is the array's last.
+def with_sentences(df: DataFrame, words: str, name: str = "sentences") -> DataFrame:
+    """Adds the sentences of timed words: one ends at a word that closes with ``. ! ?`` or that is the array's last.
 
     Untimed words are passed over before that test, so an untimed last word leaves what is unfinished without an end, and it is
     lost. Whether the next word is in upper case makes no difference.
     """
-    indexed = F.transform(words, lambda w, i: F.struct(w["word"].alias("word"), w["start"].alias("start"), w["end"].alias("end"), i.alias("at")))
-    timed = F.filter(indexed, lambda w: _present(w["start"]) & _present(w["end"]))
-    flagged = F.transform(timed, lambda w, k: F.when(ends_sentence(F.coalesce(w["word"], F.lit(""))) | (w["at"] == F.size(words) - 1), k))
-    last = F.filter(flagged, lambda k: k.isNotNull())
-    return _pieces(
-        timed,
-        last,
+    w = F.col(words)
+    df = _staged(
+        df,
+        _timed=lambda: F.filter(
+            F.transform(w, lambda x, i: F.struct(strip(F.coalesce(x["word"], F.lit(""))).alias("word"), x["start"].alias("start"), x["end"].alias("end"), (i == F.size(w) - 1).alias("final"))),
+            lambda x: _present(x["start"]) & _present(x["end"]),
+        ),
+        _last=lambda: F.filter(F.transform("_timed", lambda x, k: F.when(x["word"].rlike(SENTENCE_END) | x["final"], k)), lambda k: k.isNotNull()),
+    )
+    made = _pieces(
+        "_timed",
+        "_last",
         lambda ws: F.struct(
             cut_ms(F.get(ws, 0)["start"]).alias("start_ms"),
             cut_ms(F.element_at(ws, -1)["end"]).alias("end_ms"),
-            F.trim(join_words(F.transform(ws, lambda w: w["word"]))).alias("text"),
+            F.trim(tight(F.array_join(F.transform(ws, lambda x: x["word"]), " "))).alias("text"),
         ),
     )
+    return df.withColumn(name, F.when(F.size("_last") > 0, made).otherwise(F.array().cast(f"array<{SENTENCE}>"))).drop("_timed", "_last")
 
 
 def from_start(found: Column, start_seconds: float = 0) -> Column:
@@ -77,27 +92,33 @@ def chunk_status(start: Column, end: Column, least_ms: int = 200, length_ms: Col
     return F.when(start >= stop, "invalid").when(stop - start < least_ms, "short").otherwise("kept")
 
 
-def legacy_sentences(words: Column) -> Column:
-    """Sentences of the older rule: they begin at a word in upper case after one that closes with ``. ! ?``; what is before
-    the first word in upper case is dropped. ``counter`` numbers the output files: sentences without a start or an end do not
-    advance it."""
-    upper = lambda w: F.coalesce(starts_upper(w["word"]), F.lit(False))
-    first = F.array_min(F.filter(F.transform(words, lambda w, i: F.when(upper(w), i)), lambda i: i.isNotNull()))
-    kept = F.when(first.isNotNull(), F.slice(words, first + 1, F.size(words)))
-    last = F.filter(
-        F.transform(
-            kept,
-            lambda w, k: F.when((k == F.size(kept) - 1) | (F.coalesce(ends_sentence(w["word"]), F.lit(False)) & upper(F.get(kept, k + 1))), k),
+def with_legacy_sentences(df: DataFrame, words: str, name: str = "sentences") -> DataFrame:
+    """Adds sentences of the older rule: they begin at a word in upper case after one that closes with ``. ! ?``; what is before
+    the first word in upper case is dropped. Their status is ``start_missing``, ``end_missing``, ``short`` (below half a second)
+    or ``kept``."""
+    df = _staged(
+        df,
+        _all=lambda: F.transform(
+            words,
+            lambda x: F.struct(strip(F.coalesce(x["word"], F.lit(""))).alias("word"), x["start"].alias("start"), x["end"].alias("end")),
+        ),
+        _first=lambda: F.array_position(F.transform("_all", lambda x: x["word"].rlike(r"^\p{Lu}")), True),
+        _kept=lambda: F.when(F.col("_first") > 0, F.slice("_all", F.col("_first").cast("int"), F.size("_all"))),
+        # Each word beside the next one, so that no lambda reaches back into the whole array.
+        _pairs=lambda: F.arrays_zip(F.col("_kept").alias("a"), F.slice("_kept", 2, F.size("_kept")).alias("b")),
+        _last=lambda: F.filter(
+            F.transform("_pairs", lambda x, k: F.when(x["b"].isNull() | (x["a"]["word"].rlike(SENTENCE_END) & x["b"]["word"].rlike(r"^\p{Lu}")), k)),
+            lambda k: k.isNotNull(),
         ),
-        lambda k: k.isNotNull(),
     )
 
     def make(ws: Column) -> Column:
         start, end = cut_ms(F.get(ws, 0)["start"]), cut_ms(F.element_at(ws, -1)["end"])
         status = F.when(start.isNull(), "start_missing").when(end.isNull(), "end_missing").when(end - start < 500, "short").otherwise("kept")
-        return F.struct(start.alias("start_ms"), end.alias("end_ms"), join_words(F.transform(ws, lambda w: w["word"]), r"\s").alias("text"), status.alias("status"))
+        text = tight(F.array_join(F.transform(ws, lambda x: x["word"]), " "), r"\s")
+        return F.struct(start.alias("start_ms"), end.alias("end_ms"), text.alias("text"), status.alias("status"))
 
-    return _pieces(kept, last, make)
+    return df.withColumn(name, F.when(F.size("_last") > 0, _pieces("_kept", "_last", make))).drop("_all", "_first", "_kept", "_pairs", "_last")
 
 
 def exploded(df: DataFrame, key: str, found: Column, number: str) -> DataFrame:

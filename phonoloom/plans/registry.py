@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from phonoloom.plans import interval_and_diff
+from phonoloom.plans import corpus, interval_and_diff
 
-MODULES = [interval_and_diff]
+MODULES = [corpus, interval_and_diff]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return interval_and_diff.p1_found(spark, sf_dir)
+    return corpus.transcript_agreement_by_lang(spark, sf_dir)
