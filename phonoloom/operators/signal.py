@@ -52,10 +52,12 @@ def band_energy(df: DataFrame, key: str, spectrum: str, hz_per_bin: float) -> Da
     bands inside the row, both bounds included, so a bin on a bound counts in both."""
     total = F.aggregate(spectrum, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     power = F.transform(spectrum, lambda x, i: F.struct((i * F.lit(hz_per_bin)).alias("f"), (x.cast("double") * x.cast("double")).alias("e")))
-    rows = []
-    for label, (low, high) in BANDS.items():
-        inside = F.filter(power, lambda p, low=low, high=high: p["f"].between(low, high))
-        rows.append(F.struct(F.lit(label).alias("label"), F.lit(low).alias("low"), F.lit(high).alias("high"), F.aggregate(inside, F.lit(0.0), lambda a, p: a + p["e"]).alias("energy")))
+    def band(label: str, low: int, high: int) -> Column:
+        inside = F.filter(power, lambda p: p["f"].between(low, high))
+        energy = F.aggregate(inside, F.lit(0.0), lambda a, p: a + p["e"])
+        return F.struct(F.lit(label).alias("label"), F.lit(low).alias("low"), F.lit(high).alias("high"), energy.alias("energy"))
+
+    rows = [band(label, low, high) for label, (low, high) in BANDS.items()]
     out = df.select(key, total.alias("total"), F.inline(F.array(*rows)))
     return out.select(key, "label", "low", "high", F.round("energy", 6).alias("energy"), F.round(F.when(F.col("total") > 0, F.col("energy") / F.col("total")).otherwise(0.0), 6).alias("ratio"))
 
