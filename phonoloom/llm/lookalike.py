@@ -86,16 +86,15 @@ def term_lookalikes(df: DataFrame, key: str, words: Column, terms: DataFrame, te
     rows = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key_a"), F.posexplode(words).alias("key_b", "word"))
 
     core = F.regexp_replace(F.regexp_replace("word", f"^{OUTER}+", ""), f"{OUTER}+$", "")
-    rows = rows.withColumn("core", core).filter("core <> ''")
-    values = rows.select(F.col("core").alias("value")).distinct()
-    known = values.withColumn("mapped", looks_like(F.col("value")))
-    wanted = terms.filter(F.col(term).isNotNull()).select(F.col(term).alias("term")).distinct()
-    wanted = wanted.withColumn("term_form", looks_like(F.col("term")))
-    known.createOrReplaceTempView("phonoloom_words")
+    rows = rows.withColumn("core", core).filter("core <> ''").withColumn("mapped", looks_like(F.col("core")))
+    wanted = terms.filter(F.col(term).isNotNull()).select(F.col(term).alias("term"), looks_like(F.col(term)).alias("form"))
+    rows.createOrReplaceTempView("phonoloom_words")
     wanted.createOrReplaceTempView("phonoloom_terms")
-    hits = df.sparkSession.sql(
-        f"""SELECT w.value AS core FROM phonoloom_words w
-            JOIN phonoloom_terms t ON w.mapped COLLATE {COLLATION} = t.term_form COLLATE {COLLATION}
-            GROUP BY w.value HAVING NOT bool_or(w.value = t.term)"""
+    # Words meet the terms where they are: Spark broadcasts the classes of terms as long as their size allows it, and
+    # otherwise sorts both sides.
+    return df.sparkSession.sql(
+        f"""WITH classes AS (
+              SELECT first(form COLLATE {COLLATION}) AS class_key, collect_set(term) AS terms FROM phonoloom_terms GROUP BY form COLLATE {COLLATION})
+            SELECT DISTINCT w.key_a, CAST(w.key_b AS BIGINT) AS key_b FROM phonoloom_words w
+            JOIN classes c ON w.mapped COLLATE {COLLATION} = c.class_key WHERE NOT array_contains(c.terms, w.core)"""
     )
-    return rows.join(hits, "core").select("key_a", F.col("key_b").cast("bigint").alias("key_b")).distinct()
