@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from phonoloom.session import stored
+
 #: Length of a time bucket, and buckets in a block of the two-level running maximum.
 BUCKET_MS, BLOCK = 600_000, 1_024
 #: Intervals in the state of an input partition, after which it is emitted and begun anew.
@@ -130,7 +132,8 @@ def _bucketed(intervals: DataFrame) -> DataFrame:
     merged = intervals.mapInPandas(_partial, "entity bigint, start_ms bigint, end_ms bigint")
     merged = merged.withColumn("bucket", F.floor(F.col("start_ms") / F.lit(BUCKET_MS)).cast("bigint"))
     merged = merged.repartition("entity", "bucket").sortWithinPartitions("entity", "bucket", "start_ms")
-    maps = merged.mapInPandas(_final, "entity bigint, bucket bigint, starts array<bigint>, ends array<bigint>, last_ms bigint")
+    # Read three times below: written once, so the state is only built once.
+    maps = stored(merged.mapInPandas(_final, "entity bigint, bucket bigint, starts array<bigint>, ends array<bigint>, last_ms bigint"))
     tips = maps.select("entity", "bucket", "last_ms", F.floor(F.col("bucket") / F.lit(BLOCK)).cast("bigint").alias("block"))
     before = Window.partitionBy("entity").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy("entity", "block").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
