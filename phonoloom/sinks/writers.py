@@ -15,6 +15,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from phonoloom.session import stored
+
 
 def metadata_csv(df: DataFrame, path: str, single: bool = False) -> None:
     """``audio_path|text`` without a header, quoted only where needed, lines ending in CRLF."""
@@ -77,7 +79,8 @@ def apply_manifest(manifest: DataFrame, copy: bool = False) -> dict[str, int]:
 
     Colliding destinations are refused before anything moves.
     """
-    moves = manifest.filter("action = 'move'").select("src", "dst")
+    # Written down first: the catalog behind a manifest changes while files move.
+    moves = stored(manifest.filter("action = 'move'").select("src", "dst"))
     if not moves.groupBy("dst").count().filter("count > 1").isEmpty():
         raise ValueError("several files have the same destination")
     done = {"moved": 0, "skipped": 0, "missing": 0}
