@@ -15,9 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from phonoloom.llm.forms import CYRILLIC_LOOKS, FULLWIDTH, GREEK_LOOKS, INVISIBLE, SPACES, looks_like
+from phonoloom.llm.forms import FULLWIDTH, INVISIBLE, SPACES, looks_like
 
 COLLATION = "UNICODE"
+#: So many terms at most are broadcast.
+BROADCAST_TERMS = 10_000
 
 
 def _class_text(chars) -> str:
@@ -30,7 +32,6 @@ _ODD = f"[{_class_text(FULLWIDTH)}{_class_text(map(chr, [*INVISIBLE, *SPACES]))}
 _MIXED = r"(?:\p{IsLatin}\p{M}*[\p{IsCyrillic}\p{IsGreek}]|[\p{IsCyrillic}\p{IsGreek}]\p{M}*\p{IsLatin})"
 #: Marks around a word: everything but letters, digits, accents and characters that show nothing.
 OUTER = "[^\\p{L}\\p{N}\\p{M}\\x{00AD}\\x{034F}\\x{180E}\\x{200B}-\\x{200F}\\x{2060}-\\x{2064}\\x{FEFF}]"
-assert CYRILLIC_LOOKS and GREEK_LOOKS
 
 
 def oddness(c: Column) -> Column:
@@ -90,11 +91,12 @@ def term_lookalikes(df: DataFrame, key: str, words: Column, terms: DataFrame, te
     wanted = terms.filter(F.col(term).isNotNull()).select(F.col(term).alias("term"), looks_like(F.col(term)).alias("form"))
     rows.createOrReplaceTempView("phonoloom_words")
     wanted.createOrReplaceTempView("phonoloom_terms")
-    # Words meet the terms where they are: Spark broadcasts the classes of terms as long as their size allows it, and
-    # otherwise sorts both sides.
+    # Words meet the terms where they are, if the counted terms are few enough to broadcast; else both sides are sorted.
+    few = wanted.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+    hint = "/*+ BROADCAST(c) */" if few else ""
     return df.sparkSession.sql(
         f"""WITH classes AS (
               SELECT first(form COLLATE {COLLATION}) AS class_key, collect_set(term) AS terms FROM phonoloom_terms GROUP BY form COLLATE {COLLATION})
-            SELECT DISTINCT w.key_a, CAST(w.key_b AS BIGINT) AS key_b FROM phonoloom_words w
+            SELECT {hint} DISTINCT w.key_a, CAST(w.key_b AS BIGINT) AS key_b FROM phonoloom_words w
             JOIN classes c ON w.mapped COLLATE {COLLATION} = c.class_key WHERE NOT array_contains(c.terms, w.core)"""
     )
