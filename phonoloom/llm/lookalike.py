@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phonoloom.llm.forms import FULLWIDTH, INVISIBLE, SPACES, looks_like
+from phonoloom.session import stored
 
 COLLATION = "UNICODE"
 #: So many terms at most are broadcast.
@@ -39,6 +40,11 @@ def oddness(c: Column) -> Column:
     return F.regexp_count(c, F.lit(_ODD)) + F.regexp_count(c, F.lit(_MIXED))
 
 
+def _bones(mapped: Column) -> Column:
+    """What composed and decomposed spellings of a mapped form have in common: its ASCII characters without accents."""
+    return F.regexp_replace(F.regexp_replace(mapped, r"\P{M}\p{M}+", ""), r"[^\x00-\x7F]", "")
+
+
 def classes(values: DataFrame) -> DataFrame:
     """``value, mapped, canon`` for the distinct non-null values of the column ``value``.
 
@@ -73,10 +79,10 @@ def canonical_forms(df: DataFrame, column: str) -> DataFrame:
 def same_look_pairs(df: DataFrame, key: str, column: str) -> DataFrame:
     """``key_a, key_b``: keys, the smaller first, of whole texts that look the same and differ in their code points."""
     rows = df.filter(F.col(key).isNotNull() & F.col(column).isNotNull()).select(F.col(key).alias("k"), F.col(column).alias("value")).distinct()
-    known = classes(rows)
+    known = stored(classes(rows).select("value", "canon"))  # read twice below
     # Only classes of several different texts have pairs: everything else leaves before rows are joined.
     several = known.groupBy("canon").agg(F.count("*").alias("n")).filter("n > 1").select("canon")
-    member = rows.join(known.join(several, "canon", "left_semi"), "value").select("k", "value", "canon")
+    member = stored(rows.join(known.join(several, "canon", "left_semi"), "value").select("k", "value", "canon"))
     a = member.select(F.col("k").alias("key_a"), F.col("value").alias("va"), "canon")
     b = member.select(F.col("k").alias("key_b"), F.col("value").alias("vb"), "canon")
     return a.join(b, "canon").filter("key_a < key_b AND va <> vb").select("key_a", "key_b").distinct()
@@ -89,14 +95,14 @@ def term_lookalikes(df: DataFrame, key: str, words: Column, terms: DataFrame, te
     core = F.regexp_replace(F.regexp_replace("word", f"^{OUTER}+", ""), f"{OUTER}+$", "")
     rows = rows.withColumn("core", core).filter("core <> ''").withColumn("mapped", looks_like(F.col("core")))
     wanted = terms.filter(F.col(term).isNotNull()).select(F.col(term).alias("term"), looks_like(F.col(term)).alias("form"))
-    rows.createOrReplaceTempView("phonoloom_words")
-    wanted.createOrReplaceTempView("phonoloom_terms")
-    # Words meet the terms where they are, if the counted terms are few enough to broadcast; else both sides are sorted.
+    # Words meet the terms where they are, if the counted terms are few enough to broadcast; else both sides are shuffled.
     few = wanted.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
-    hint = "/*+ BROADCAST(c) */" if few else ""
-    return df.sparkSession.sql(
-        f"""WITH classes AS (
-              SELECT first(form COLLATE {COLLATION}) AS class_key, collect_set(term) AS terms FROM phonoloom_terms GROUP BY form COLLATE {COLLATION})
-            SELECT {hint} DISTINCT w.key_a, CAST(w.key_b AS BIGINT) AS key_b FROM phonoloom_words w
-            JOIN classes c ON w.mapped COLLATE {COLLATION} = c.class_key WHERE NOT array_contains(c.terms, w.core)"""
+    wanted.createOrReplaceTempView("phonoloom_terms")
+    classes_of_terms = df.sparkSession.sql(
+        f"SELECT first(form COLLATE {COLLATION}) AS class_key, collect_set(term) AS terms FROM phonoloom_terms GROUP BY form COLLATE {COLLATION}"
     )
+    # Equal under the collation needs equal ASCII letters without accents; that much is a plain hash join.
+    bones = wanted.select(_bones(F.col("form")).alias("bones")).distinct()
+    rows = rows.withColumn("bones", _bones(F.col("mapped"))).join(F.broadcast(bones) if few else bones, "bones", "left_semi")
+    hits = rows.join(classes_of_terms, F.collate(F.col("mapped"), COLLATION) == F.col("class_key"))
+    return hits.filter(~F.array_contains("terms", F.col("core"))).select("key_a", F.col("key_b").cast("bigint").alias("key_b")).distinct()
