@@ -110,9 +110,9 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = _sentence_model(spark, sf_dir)
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = subjects.train(documents, "doc_id", "text", table(spark, sf_dir, "subject_samples"), units)
-    return subjects.subject_shares(_spread(documents), "doc_id", "text", model, units)
+    documents = subjects.split(_spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text")), "doc_id", "lang", "text", units)
+    model = subjects.train(documents, table(spark, sf_dir, "subject_samples"))
+    return subjects.subject_shares(documents, model)
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,13 @@
 
 A sentence is the average of the embeddings of its words and their subwords (in scripts without spaces: of its character
 n-grams); one logistic output for each subject reads it. Training keeps its rows in ``SHARDS`` fixed shards. In every
-round each shard takes the model, makes ``LOCAL_STEPS`` gradient steps on its own rows and returns what they changed; the
-changes are averaged, weighted by rows, and the next round begins. The shards depend on the rows' keys only, so
-the result is the same on any cluster.
+round each shard takes the model, makes gradient steps on blocks of its own rows, at least one on each block, and returns
+the parameters it changed; they are averaged, weighted by rows, and the next round begins. The shards depend on the rows'
+keys only, so the result is the same on any cluster; a shard is read block by block and never held as a whole.
 
-It is trained on the labelled samples (all rows, at most ``SAMPLE_ROWS``), and then ``len(STAGES)`` times on the sentences of at
-most ``SELF_TRAINING_ROWS`` documents (those of the smallest key hashes, a fixed and documented bound), each time labelled by
-the model before, which teaches the words that the samples lack. Every document is scored.
+It is trained on the labelled samples (all rows, at most ``SAMPLE_ROWS``), and then ``len(STAGES)`` times on the samples and the
+sentences of all documents that the model before is sure about, labelled by it, which teaches the words that the samples lack.
+Documents whose label names no language teach nothing and are scored like all others. The samples stand in every block of every stage, and their features in every vocabulary.
 
 A document has a subject if at least ``LEAST_SHARE`` of its distinct sentences speak about it. Defined results: null, empty
 and wordless texts have no subject; a sentence that comes twice counts once.
@@ -16,6 +16,7 @@ and wordless texts have no subject; a sentence that comes twice counts once.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -26,19 +27,23 @@ from pyspark.sql import functions as F
 
 from phonoloom.llm import sentences as sent
 from phonoloom.llm.forms import bare
+from phonoloom.llm.langid import label_language
 from phonoloom.session import stored
 
-SAMPLE_ROWS, SELF_TRAINING_ROWS, LEAST_SHARE = 5_000, 2_500, 0.25
+SAMPLE_ROWS, LEAST_SHARE = 5_000, 0.25
 SHARDS, DIM, RATE = 8, 8, 0.08
-#: Rounds and steps on the samples, and on sentences of documents.
+#: Rounds and steps on the samples, and on sentences of documents. A shard of more than ``BLOCK`` rows shares the steps of a
+#: round among its blocks.
 FIRST, LATER = (6, 15), (4, 25)
+BLOCK = 4_000
+#: Features counted at once on a worker before they are passed on.
+COUNTED = 200_000
 #: A sentence speaks about a subject from this probability on.
 SPEAKS = 0.6
-#: Stages of self-training. The first takes the best subject of whole documents from a probability on, and no document
-#: without one; later ones take the share of sentences: from the first value on a subject is taught, up to the second its
-#: absence, and documents between are left out.
-WHOLE_DOCUMENT = 0.15
-STAGES = (None, (0.25, 0.1), (0.3, 0.1))
+#: Stages of self-training, each by how far a document's score lies above the median of its language, in standard deviations:
+#: from the first value on a subject is taught, up to the second its absence, and documents between are left out. Scores that
+#: are not centred let a leaning of the first model towards one subject grow until all of a language has it.
+STAGES = ((1.5, 0.8), (1.5, 0.8), (1.5, 0.8))
 NO_SUBJECT = "none"
 
 _RUN = regex.compile(r"[\p{L}\p{M}]+")
@@ -121,14 +126,17 @@ class Scorer:
             self.cache[t] = v
         return v
 
-    def probabilities(self, lines: Sequence[str]) -> np.ndarray:
+    def logits(self, lines: Sequence[str]) -> np.ndarray:
         out = np.zeros((len(lines), len(self.bias)))
         for k, s in enumerate(lines):
             ts = tokens(s)
             if ts:
                 total = np.sum([self.token(t) for t in ts], axis=0)
                 out[k] = total[:-1] / max(total[-1], 1.0)
-        return 1 / (1 + np.exp(-(out + self.bias)))
+        return out + self.bias
+
+    def probabilities(self, lines: Sequence[str]) -> np.ndarray:
+        return 1 / (1 + np.exp(-self.logits(lines)))
 
 
 def local_steps(table, out, bias, ids: list[Sequence[int]], target: np.ndarray, steps: int, rate: float, decay: float = 0.0):
@@ -176,13 +184,81 @@ def synchronise(model: Embedded, parts: list[tuple]) -> None:
     model.out, model.bias = out, bias
 
 
-def _shard_work(given, steps: int):
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row_key", kind="stable")
-        target = np.array([list(t) for t in pdf["target"]], np.float64)
-        used, *changed = local_steps(*given.value, list(pdf["ids"]), target, steps, RATE)
-        return pd.DataFrame(
-            [(int(pdf["shard"].iloc[0]), len(pdf), used.astype(np.int64).tobytes(), *(c.astype(np.float64).tobytes() for c in changed))],
+class Steps:
+    """One shard's gradient steps (Adam) within a round, on one block of rows after another."""
+
+    def __init__(self, table: np.ndarray, out: np.ndarray, bias: np.ndarray) -> None:
+        self.params = [table.copy(), out.copy(), bias.copy()]
+        self.moments = [(np.zeros_like(p), np.zeros_like(p)) for p in self.params]
+        self.seen = np.zeros(len(table), bool)
+        self.step = 0
+
+    def take(self, flat: np.ndarray, lengths: np.ndarray, target: np.ndarray, steps: int, rate: float) -> None:
+        emb, out, bias = self.params
+        n = len(lengths)
+        owner = np.repeat(np.arange(n), lengths)
+        size = np.maximum(lengths, 1).astype(np.float64)[:, None]
+        order = np.argsort(flat, kind="stable")
+        starts = np.flatnonzero(np.diff(flat[order], prepend=-1))
+        used = flat[order][starts]
+        row_starts = np.flatnonzero(np.diff(owner, prepend=-1))
+        rows = owner[row_starts]
+        by_feature = owner[order]
+        self.seen[used] = True
+        for _ in range(steps):
+            self.step += 1
+            h = np.zeros((n, emb.shape[1]))
+            if len(flat):
+                h[rows] = np.add.reduceat(emb[flat], row_starts, axis=0)
+            h /= size
+            err = (1 / (1 + np.exp(-(h @ out + bias))) - target) / n
+            back = (err @ out.T) / size
+            first = np.zeros_like(emb)
+            if len(flat):
+                first[used] = np.add.reduceat(back[by_feature], starts, axis=0)
+            for p, (m1, m2), g in zip(self.params, self.moments, (first, h.T @ err, err.sum(0))):
+                m1 *= 0.9
+                m1 += 0.1 * g
+                m2 *= 0.99
+                m2 += 0.01 * g * g
+                p -= rate * (m1 / (1 - 0.9**self.step)) / (np.sqrt(m2 / (1 - 0.99**self.step)) + 1e-9)
+
+
+def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Blocks of ``BLOCK`` rows at most, each preceded by the labelled rows, which come first."""
+    labelled: list[pd.DataFrame] = []
+    rest: list[pd.DataFrame] = []
+    given = False
+    for batch in batches:
+        labelled.append(batch[batch["labelled"]])
+        rest.append(batch[~batch["labelled"]])
+        if sum(map(len, rest)) >= BLOCK:
+            held = pd.concat(rest)
+            cut = len(held) // BLOCK * BLOCK
+            for k in range(0, cut, BLOCK):
+                given = True
+                yield pd.concat([*labelled, held[k : k + BLOCK]])
+            rest = [held[cut:]]
+    if sum(map(len, rest)) or not given:
+        yield pd.concat([*labelled, *rest])
+
+
+def _shard_work(given, sizes: dict[int, int], steps: int):
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        local, n, shard = Steps(*given.value), 0, 0
+        subjects = len(given.value[2])
+        for block in _blocks(batches):
+            shard = int(block["shard"].iloc[0])
+            flat = np.frombuffer(b"".join(block["ids"]), np.int32).astype(np.int64)
+            lengths = np.array([len(x) // 4 for x in block["ids"]], np.int64)
+            target = np.frombuffer(b"".join(block["target"]), np.uint8).reshape(-1, subjects).astype(np.float64)
+            local.take(flat, lengths, target, max(1, round(steps / max(1, -(-sizes[shard] // BLOCK)))), RATE)
+            n += len(block)
+        used = np.flatnonzero(local.seen)
+        table, out, bias = local.params
+        changed = (table[used], out, bias)
+        yield pd.DataFrame(
+            [(shard, n, used.astype(np.int64).tobytes(), *(c.tobytes() for c in changed))],
             columns=["shard", "n", "used", "emb", "out", "bias"],
         )
 
@@ -190,15 +266,18 @@ def _shard_work(given, steps: int):
 
 
 def fit(model: Embedded, rows: DataFrame, rounds: int, steps: int) -> Embedded:
-    """Trains on ``shard int, row_key string, ids array<int>, target array<double>``."""
+    """Trains on rows of ``_ROWS``: every row in every round."""
     context = rows.sparkSession.sparkContext
     dim = model.table.shape[1]
     shape = "shard int, n bigint, used binary, emb binary, out binary, bias binary"
+    sizes = {r["shard"]: r["n"] for r in rows.groupBy("shard").agg(F.count_if(~F.col("labelled")).alias("n")).collect()}
+    # Sorted once, labelled rows first: the grouping needs no other order.
+    ordered = rows.repartition(SHARDS, "shard").sortWithinPartitions("shard", F.desc("labelled"), F.xxhash64("row_key"), "row_key")
     for _ in range(rounds):
         given = context.broadcast((model.table, model.out, model.bias))
 
         # A fixed number of shards, each no larger than the model: a bounded result.
-        got = rows.groupBy("shard").applyInPandas(_shard_work(given, steps), shape).collect()
+        got = ordered.groupBy("shard").applyInPandas(_shard_work(given, sizes, steps), shape).collect()
         f = lambda b, *to: np.frombuffer(bytes(b), np.float64).reshape(*to)
         parts = [(r["n"], np.frombuffer(bytes(r["used"]), np.int64), f(r["emb"], -1, dim), f(r["out"], dim, -1), f(r["bias"], -1)) for r in sorted(got, key=lambda r: r["shard"])]
         given.unpersist()
@@ -207,112 +286,151 @@ def fit(model: Embedded, rows: DataFrame, rounds: int, steps: int) -> Embedded:
     return model
 
 
-_ROWS = "shard int, row_key string, ids array<int>, target array<double>"
+#: Training rows; ``ids`` holds 32-bit indexes of features, ``target`` a byte of 0 or 1 for each subject.
+_ROWS = "shard int, row_key string, labelled boolean, ids binary, target binary"
+_FORMS = "row_key string, form string, target binary"
 
 
 def _vocabulary(forms: DataFrame, least: int) -> list[str]:
-    """Features of at least ``least`` rows of the column ``form``, in order. The rows are a bounded sample."""
+    """Features of at least ``least`` rows of the column ``form``, in order; workers count before the shuffle."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, list[str]] = {}
+        count: Counter[str] = Counter()
         for batch in batches:
-            yield pd.DataFrame({"f": [f for s in batch["form"] for f in sorted({f for t in tokens(s) for f in features(t)})]})
-
-    rows = forms.select("form").mapInPandas(run, "f string").groupBy("f").count().filter(F.col("count") >= least)
-    return sorted(r["f"] for r in rows.collect())
+            for s in batch["form"]:
+                of = set()
+                for t in tokens(s):
+                    if (fs := known.get(t)) is None:
+                        if len(known) >= COUNTED:
+                            known.clear()
+                        fs = known[t] = features(t)
+                    of.update(fs)
+                count.update(of)
+            if len(count) >= COUNTED:
+                yield pd.DataFrame({"f": list(count), "n": list(count.values())})
+                count.clear()
+        yield pd.DataFrame({"f": list(count), "n": list(count.values())})
+
+    rows = forms.select("form").mapInPandas(run, "f string, n bigint").groupBy("f").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    return sorted(r["f"] for r in rows.select("f").collect())
 
 
 def _training_rows(forms: DataFrame, model: Embedded) -> DataFrame:
-    """``row_key, form, target`` as rows of ``fit``."""
+    """``row_key, form, target, labelled`` as rows of ``fit``."""
     given = forms.sparkSession.sparkContext.broadcast(model.index)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         get = given.value.get
+        known: dict[str, bytes] = {}
+
+        def ids(t: str) -> bytes:
+            if (b := known.get(t)) is None:
+                if len(known) >= COUNTED:
+                    known.clear()
+                b = known[t] = np.array([i for f in features(t) if (i := get(f)) is not None], np.int32).tobytes()
+            return b
+
         for batch in batches:
-            ids = [[i for t in tokens(s) for f in features(t) if (i := get(f)) is not None] for s in batch["form"]]
-            yield pd.DataFrame({"shard": batch["shard"], "row_key": batch["row_key"], "ids": ids, "target": batch["target"]})
+            column = [b"".join(map(ids, tokens(s))) for s in batch["form"]]
+            yield pd.DataFrame({"shard": batch["shard"], "row_key": batch["row_key"], "labelled": batch["labelled"], "ids": column, "target": batch["target"]})
 
     sharded = forms.withColumn("shard", F.pmod(F.xxhash64("row_key"), F.lit(SHARDS)).cast("int"))
-    return stored(sharded.select("shard", "row_key", "form", "target").mapInPandas(run, _ROWS))
+    return stored(sharded.select("shard", "row_key", "labelled", "form", "target").mapInPandas(run, _ROWS))
 
 
-def _targets(probabilities: np.ndarray, whole: np.ndarray, stage: tuple | None) -> list[float] | None:
-    """What a document teaches about each subject, or None if it is unclear."""
-    if stage is None:
-        top = whole.max()
-        return [float(v == top) for v in whole] if top >= WHOLE_DOCUMENT else None
-    share = (probabilities > SPEAKS).mean(0)
+def _targets(distance: np.ndarray, stage: tuple[float, float]) -> bytes | None:
+    """What a document teaches about each subject, a byte for each, or None if it is unclear."""
     sure, absent = stage
-    if ((share > absent) & (share < sure)).any():
+    if ((distance > absent) & (distance < sure)).any():
         return None
-    return [float(v >= sure) for v in share]
+    return bytes(int(v >= sure) for v in distance)
 
 
-def _self_labelled(documents: DataFrame, model: Embedded, stage: tuple | None) -> DataFrame:
+def _self_labelled(documents: DataFrame, model: Embedded, stage: tuple[float, float]) -> DataFrame:
     """``row_key, form, target`` of the sentences of documents that the model is sure about."""
     given = documents.sparkSession.sparkContext.broadcast(model)
+    columns = ["k", "lang", "forms", "score"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = given.value.scorer()
+        for batch in batches:
+            batch = batch[batch["forms"].map(len) > 0]
+            whole = np.rint(100 * scorer.logits([" ".join(f) for f in batch["forms"]])).astype(np.int64)
+            yield batch.assign(score=list(whole))[columns]
+
+    shape = "k bigint, lang string, forms array<string>, score array<bigint>"
+    scored = stored(documents.filter("lang IS NOT NULL").mapInPandas(score, shape))
+    # Whole hundredths: sums and medians are exact, the same in any order, and the counted values are few.
+    by_language = scored.groupBy("lang").agg(
+        *(f(F.element_at("score", i + 1)).alias(f"{name}{i}") for i in range(len(model.subjects)) for name, f in (("mid", F.median), ("sum", F.sum))),
+        *(F.sum(F.element_at("score", i + 1) * F.element_at("score", i + 1)).alias(f"square{i}") for i in range(len(model.subjects))),
+        F.count("*").alias("n"),
+    )
+    centre = {}
+    for r in by_language.collect():  # one row for each language of ``langid.NAMES``
+        mid, total, square = (np.array([float(r[f"{name}{i}"]) for i in range(len(model.subjects))]) for name in ("mid", "sum", "square"))
+        centre[r["lang"]] = mid, np.sqrt(np.maximum(square / r["n"] - (total / r["n"]) ** 2, 0)) + 1e-9
+
+    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for k, forms in zip(batch["k"].tolist(), batch["forms"]):
-                if not len(forms):
-                    continue
-                target = _targets(scorer.probabilities(forms), scorer.probabilities([" ".join(forms)])[0], stage)
+            for k, lang, forms, whole in zip(batch["k"].tolist(), batch["lang"], batch["forms"], batch["score"]):
+                mid, spread = centre[lang]
+                target = _targets((whole - mid) / spread, stage)
                 if target is not None:
                     rows += [(f"{k}/{no}", s, target) for no, s in enumerate(forms)]
             yield pd.DataFrame(rows, columns=["row_key", "form", "target"])
 
-    return stored(documents.mapInPandas(run, "row_key string, form string, target array<double>"))
+    return stored(scored.mapInPandas(label, _FORMS))
 
 
-def _split(df: DataFrame, key: str, text: str, model: sent.Model) -> DataFrame:
-    """``k, forms``: the distinct sentences of each document."""
+def split(df: DataFrame, key: str, lang: str, text: str, model: sent.Model) -> DataFrame:
+    """``k, lang, forms``: the language that the label names and the distinct sentences of each document, kept for training and scoring."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"k": batch["k"], "forms": [document_sentences(t, model) if t else [] for t in batch["t"]]})
+            forms = [document_sentences(t, model) if t else [] for t in batch["t"]]
+            yield pd.DataFrame({"k": batch["k"], "lang": [label_language(x) for x in batch["lang"]], "forms": forms})
 
-    return df.filter(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, "k bigint, forms array<string>")
+    rows = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(lang).alias("lang"), F.col(text).alias("t"))
+    return stored(rows.mapInPandas(run, "k bigint, lang string, forms array<string>"))
 
 
-def train(documents: DataFrame, key: str, text: str, samples: DataFrame, sentence_model: sent.Model) -> Embedded:
-    """The model, from ``samples`` (sample_id, subject, text) and a bounded sample of ``documents``."""
+def train(documents: DataFrame, samples: DataFrame) -> Embedded:
+    """The model, from ``samples`` (sample_id, subject, text) and all documents as ``split`` gives them."""
     rows = samples.filter(F.col("text").isNotNull() & F.col("subject").isNotNull()).select("sample_id", "subject", "text").orderBy("sample_id").limit(SAMPLE_ROWS).collect()
     subjects = sorted({r["subject"] for r in rows} - {NO_SUBJECT})
     spark = documents.sparkSession
-    labelled = [(str(r["sample_id"]), letters(_GAP.sub("", r["text"])), [float(r["subject"] == s) for s in subjects]) for r in rows]
-    forms = spark.createDataFrame(labelled, "row_key string, form string, target array<double>")
-    model = Embedded(_vocabulary(forms, 2), subjects)
-    fit(model, _training_rows(forms, model), *FIRST)
-    some = documents.filter(F.col(text).isNotNull() & F.col(key).isNotNull()).orderBy(F.xxhash64(key), key).limit(SELF_TRAINING_ROWS)
-    some = stored(_split(some.select(key, text).repartition(4 * SHARDS, key), key, text, sentence_model))
+    labelled = [(f"sample/{r['sample_id']}", letters(_GAP.sub("", r["text"])), bytes(int(r["subject"] == s) for s in subjects)) for r in rows]
+    samples = spark.createDataFrame(labelled, _FORMS).withColumn("labelled", F.lit(True))
+    known = _vocabulary(samples, 2)
+    model = Embedded(known, subjects)
+    fit(model, _training_rows(samples, model), *FIRST)
     for stage in STAGES:
-        forms = _self_labelled(some, model, stage)
+        forms = _self_labelled(documents, model, stage)
         words = _vocabulary(forms, 3)
         if not words:
             break
-        model = Embedded(words, subjects)
-        fit(model, _training_rows(forms, model), *LATER)
+        model = Embedded(sorted({*known, *words}), subjects)
+        fit(model, _training_rows(forms.withColumn("labelled", F.lit(False)).unionByName(samples), model), *LATER)
     return model
 
 
-def subject_shares(documents: DataFrame, key: str, text: str, model: Embedded, sentence_model: sent.Model) -> DataFrame:
-    """``doc_id, subject, share, n_sentences`` of each document and subject that any of its sentences speaks about."""
-    given = documents.sparkSession.sparkContext.broadcast((model, sentence_model))
+def subject_shares(documents: DataFrame, model: Embedded) -> DataFrame:
+    """``doc_id, subject, share, n_sentences`` of each document of ``split`` and subject that any of its sentences speaks about."""
+    given = documents.sparkSession.sparkContext.broadcast(model)
     columns = ["doc_id", "subject", "share", "n_sentences"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        local, sentence_model = given.value
+        local = given.value
         scorer, names = local.scorer(), local.subjects
         for batch in batches:
             rows = []
-            for k, t in zip(batch["k"].tolist(), batch["t"]):
-                forms = document_sentences(t, sentence_model) if t else []
-                if forms:
+            for k, forms in zip(batch["k"].tolist(), batch["forms"]):
+                if len(forms):
                     share = (scorer.probabilities(forms) > SPEAKS).mean(0)
                     rows += [(k, s, float(v), len(forms)) for s, v in zip(names, share) if v > 0]
             yield pd.DataFrame(rows, columns=columns)
 
-    rows = documents.filter(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"))
-    return rows.mapInPandas(run, "doc_id bigint, subject string, share double, n_sentences int")
+    return documents.mapInPandas(run, "doc_id bigint, subject string, share double, n_sentences int")

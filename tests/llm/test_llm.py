@@ -199,3 +199,38 @@ def test_subject_training_separates_words():
 def test_subject_sentences():
     assert subjects.document_sentences("The crew copied a voice. The crew copied a voice! Nobody heard.\n\n", MODEL) == ["the crew copied a voice", "nobody heard"]
     assert unicodedata.normalize("NFC", "é") == "é"
+
+
+def test_subject_training_reads_every_document(spark):
+    rng = random.Random(4)
+    rest = "the lamp was early and nobody heard story of his crew".split()
+    seen, rare = {"law": ["judge", "court"], "sport": ["goal", "league"]}, {"law": "verdict", "sport": "coach"}
+    samples = [(i, s, "en", " ".join(rng.sample(rest, 5) + rng.sample(seen.get(s, rest), 1))) for i, s in enumerate(["law", "sport", "none"] * 20)]
+    documents = []
+    for i in range(3_000):
+        s = [None, "law", "sport", None][i % 4]
+        lines = [" ".join(rng.sample(rest, 6) + ([rng.choice(seen[s])] if s else [])) for _ in range(3)]
+        # The rare words come in documents that the hash order puts last.
+        documents.append((i, "en", "\n".join(lines), s))
+    df = spark.createDataFrame(documents, "doc_id long, lang string, text string, s string")
+    last = {r.doc_id for r in df.orderBy(F.xxhash64("doc_id").desc()).limit(400).collect()}
+    documents = [(i, l, t + (f"\n{t.splitlines()[0]} {rare[s]}" if s and i in last else "")) for i, l, t, s in documents]
+    df = spark.createDataFrame(documents, "doc_id long, lang string, text string")
+    forms = subjects.split(df, "doc_id", "lang", "text", MODEL)
+    model = subjects.train(forms, spark.createDataFrame(samples, "sample_id long, subject string, lang string, text string"))
+    assert {"verdict", "coach"} <= set(model.index) and {"judge", "court", "goal", "league"} <= set(model.index)
+    got = model.scorer().logits(["verdict", "coach"])
+    assert got[0].argmax() == model.subjects.index("law") and got[1].argmax() == model.subjects.index("sport")
+    found = {r.doc_id for r in subjects.subject_shares(forms, model).filter("share >= 0.25").collect()}
+    assert len(found ^ {i for i in range(3_000) if i % 4 in (1, 2)}) < 60
+
+
+def test_blocks_hold_the_labelled_rows_and_every_row():
+    import pandas as pd
+
+    n = 2 * subjects.BLOCK + 10
+    rows = pd.DataFrame({"labelled": [True] * 5 + [False] * n, "at": range(n + 5)})
+    got = list(subjects._blocks(iter([rows[:3], rows[3:6000], rows[6000:]])))
+    assert [len(b) for b in got] == [subjects.BLOCK + 5] * 2 + [15] and all(list(b["at"][:5]) == list(range(5)) for b in got)
+    assert sorted(x for b in got for x in b["at"] if x >= 5) == list(range(5, n + 5))
+    assert [len(b) for b in subjects._blocks(iter([rows[:5]]))] == [5]
