@@ -2,8 +2,8 @@
 
 Every item is brought to its plain form (no case, no marks, look-alikes mapped), and the form is compressed as
 a whole and in fixed chunks. A band with limits for the length tells repetitive text (it shrinks more than varied text
-of its length does), incompressible text and the rest. The ``repetitive`` band is wide on purpose: it must hold every item
-whose repeated share can reach one half, and the exact share decides inside it.
+of its length does), incompressible text and the rest. The band describes an item and decides nothing: copies beyond the window
+of zstandard or in short texts of many different characters hardly shrink. The exact share is counted for every item.
 
 The repeated share is the share of words in runs of at least four words (in scripts without spaces: eight characters)
 that already occurred earlier in the item.
@@ -85,8 +85,7 @@ def band(size: int, whole: float, chunk: float) -> str:
 def repetition(df: DataFrame, key: str, text: Column, found_only: bool = False) -> DataFrame:
     """``item_id, n_units, ratio, chunk_ratio, band, repeated_share`` of each item.
 
-    With ``found_only`` the exact share is only counted inside the ``repetitive`` band, and only items of
-    at least ``LEAST_SHARE`` come out.
+    With ``found_only`` only items of at least ``LEAST_SHARE`` come out, whatever their band.
     """
     columns = ["item_id", "n_units", "ratio", "chunk_ratio", "band", "repeated_share"]
 
@@ -98,8 +97,6 @@ def repetition(df: DataFrame, key: str, text: Column, found_only: bool = False)
                 words, length = units(t) if t else ([], WORD_RUN)
                 size, whole, chunk = ratios(words, length, press)
                 name = band(size, whole, chunk)
-                if found_only and name != "repetitive":
-                    continue
                 share = repeated_share(words, length)
                 if not found_only or share >= LEAST_SHARE:
                     rows.append((k, len(words), whole, chunk, name, share))

@@ -234,3 +234,22 @@ def test_blocks_hold_the_labelled_rows_and_every_row():
     assert [len(b) for b in got] == [subjects.BLOCK + 5] * 2 + [15] and all(list(b["at"][:5]) == list(range(5)) for b in got)
     assert sorted(x for b in got for x in b["at"] if x >= 5) == list(range(5, n + 5))
     assert [len(b) for b in subjects._blocks(iter([rows[:5]]))] == [5]
+
+
+def test_repetition_does_not_depend_on_the_band(spark):
+    import zstandard
+
+    rng, press, lost = random.Random(9), zstandard.ZstdCompressor(level=3), []
+    for i in range(4_000):
+        characters = [chr(c) for c in rng.sample(range(0x4E00, 0x9FA0), 64)]
+        n = rng.randint(3, 5)
+        runs = ["".join(characters[8 * k : 8 * k + 8]) for k in range(n)]
+        text = "".join(runs) + "".join(rng.sample(runs, n))
+        words, run = repetition.units(text)
+        if repetition.repeated_share(words, run) >= 0.5 and repetition.band(*repetition.ratios(words, run, press)) != "repetitive":
+            lost.append((i, text))
+    # Copies beyond the window of the compressor.
+    far = "".join(chr(c) for c in np.random.default_rng(1).integers(0x4E00, 0x9FA0, 800_000))
+    lost.append((9_999, far + far))
+    df = spark.createDataFrame(lost, "id long, text string")
+    assert {r.item_id for r in repetition.repetition(df, "id", F.col("text"), True).collect()} == {i for i, _ in lost}
