@@ -32,7 +32,7 @@ _ODD = f"[{_class_text(FULLWIDTH)}{_class_text(map(chr, [*INVISIBLE, *SPACES]))}
 #: A letter of one script next to a letter of another.
 _MIXED = r"(?:\p{IsLatin}\p{M}*[\p{IsCyrillic}\p{IsGreek}]|[\p{IsCyrillic}\p{IsGreek}]\p{M}*\p{IsLatin})"
 #: Marks around a word: everything but letters, digits, accents and characters that show nothing.
-OUTER = "[^\\p{L}\\p{N}\\p{M}\\x{00AD}\\x{034F}\\x{180E}\\x{200B}-\\x{200F}\\x{2060}-\\x{2064}\\x{FEFF}]"
+OUTER = f"[^\\p{{L}}\\p{{N}}\\p{{M}}{_class_text(map(chr, INVISIBLE))}]"
 
 
 def oddness(c: Column) -> Column:

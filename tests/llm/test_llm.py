@@ -253,3 +253,10 @@ def test_repetition_does_not_depend_on_the_band(spark):
     lost.append((9_999, far + far))
     df = spark.createDataFrame(lost, "id long, text string")
     assert {r.item_id for r in repetition.repetition(df, "id", F.col("text"), True).collect()} == {i for i, _ in lost}
+
+
+def test_invisible_characters_at_the_edge_of_a_word_count(spark):
+    edges = [chr(c) for c in forms.INVISIBLE]
+    words = spark.createDataFrame([(1, [f"({c}mikrofon)" for c in edges] + [f"mikrofon{c}." for c in edges] + ["(mikrofon)."])], "id long, w array<string>")
+    terms = spark.createDataFrame([("mikrofon",)], "term string")
+    assert sorted(map(tuple, lookalike.term_lookalikes(words, "id", F.col("w"), terms, "term").collect())) == [(1, i) for i in range(2 * len(edges))]
