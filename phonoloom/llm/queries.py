@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phonoloom.llm import langid, lookalike, mixing, pieces, repetition, sentences, subjects, tokens
-from phonoloom.session import parallelism, table
+from phonoloom.session import spread, table
 
 
 def _words(c: str = "word_segments"):
@@ -36,22 +36,17 @@ def _sentence_model(spark: SparkSession, sf_dir: str) -> sentences.Model:
     return sentences.trained(table(spark, sf_dir, "lang_samples"), table(spark, sf_dir, "subject_samples"))
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Rows spread evenly for work that is bound by CPU: files may be few, and far larger than their neighbours."""
-    return df.repartition(parallelism(df.sparkSession))
-
-
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "aligned_transcripts").select("align_id", _words().alias("words"))
-    return sentences.sentence_units(_spread(rows), "align_id", F.col("words"), _sentence_model(spark, sf_dir))
+    return sentences.sentence_units(spread(rows), "align_id", F.col("words"), _sentence_model(spark, sf_dir))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.cut_kinds(_spread(table(spark, sf_dir, "aligned_transcripts").select("align_id", "word_segments")), "align_id", _sentence_model(spark, sf_dir))
+    return pieces.cut_kinds(spread(table(spark, sf_dir, "aligned_transcripts").select("align_id", "word_segments")), "align_id", _sentence_model(spark, sf_dir))
 
 
 def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.pieces(_spread(table(spark, sf_dir, "aligned_transcripts").select("align_id", "word_segments")), "align_id", _sentence_model(spark, sf_dir))
+    return pieces.pieces(spread(table(spark, sf_dir, "aligned_transcripts").select("align_id", "word_segments")), "align_id", _sentence_model(spark, sf_dir))
 
 
 def _segment_texts():
@@ -59,9 +54,9 @@ def _segment_texts():
 
 
 def _p5(spark: SparkSession, sf_dir: str, found_only: bool) -> DataFrame:
-    documents = _spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     documents = repetition.repetition(documents, "doc_id", F.col("text"), found_only)
-    scripts = _spread(table(spark, sf_dir, "transcripts").select("transcript_id", F.array_join(_segment_texts(), "\n").alias("text")))
+    scripts = spread(table(spark, sf_dir, "transcripts").select("transcript_id", F.array_join(_segment_texts(), "\n").alias("text")))
     scripts = repetition.repetition(scripts, "transcript_id", F.col("text"), found_only).distinct()
     named = lambda df, place: df.select(F.lit(place).alias("place"), "*")
     return named(documents, "document").unionByName(named(scripts, "transcript"))
@@ -77,9 +72,9 @@ def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.trained(table(spark, sf_dir, "lang_samples"), table(spark, sf_dir, "subject_samples"))
-    documents = _spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     documents = langid.languages(documents, "doc_id", "lang", F.split("text", "\n"), model)
-    scripts = _spread(table(spark, sf_dir, "transcripts").select("transcript_id", "language", _segment_texts().alias("texts")))
+    scripts = spread(table(spark, sf_dir, "transcripts").select("transcript_id", "language", _segment_texts().alias("texts")))
     scripts = langid.languages(scripts, "transcript_id", "language", F.col("texts"), model).distinct()
     named = lambda df, place: df.select(F.lit(place).alias("place"), "*")
     return named(documents, "document").unionByName(named(scripts, "transcript"))
@@ -91,11 +86,11 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.encoded(_spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text")
+    return tokens.encoded(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 def _mixing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    documents = _spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixing.prepared(documents, table(spark, sf_dir, "mix_targets"))
 
 
@@ -110,8 +105,8 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = _sentence_model(spark, sf_dir)
-    documents = subjects.split(_spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text")), "doc_id", "lang", "text", units)
-    model = subjects.train(documents, table(spark, sf_dir, "subject_samples"))
+    documents = subjects.split(spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text")), "doc_id", "lang", "text", units)
+    model = subjects.train(documents, table(spark, sf_dir, "subject_samples"), units)
     return subjects.subject_shares(documents, model)
 
 

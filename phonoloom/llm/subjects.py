@@ -1,23 +1,28 @@
 """Subject areas of documents, from averaged word and subword embeddings with independent logistic outputs.
 
-A sentence is the average of the embeddings of its words and their subwords (in scripts without spaces: of its character
-n-grams); one logistic output for each subject reads it. Training keeps its rows in ``SHARDS`` fixed shards. In every
-round each shard takes the model, makes gradient steps on blocks of its own rows, at least one on each block, and returns
-the parameters it changed; they are averaged, weighted by rows, and the next round begins. The shards depend on the rows'
-keys only, so the result is the same on any cluster; a shard is read block by block and never held as a whole.
-
-It is trained on the labelled samples (all rows, at most ``SAMPLE_ROWS``), and then ``len(STAGES)`` times on the samples and the
-sentences of all documents that the model before is sure about, labelled by it, which teaches the words that the samples lack.
-Documents whose label names no language teach nothing and are scored like all others. The samples stand in every block of every stage, and their features in every vocabulary.
+A sentence is the weighted average of the embeddings of its features: its words and the beginnings of longer words (in scripts
+without spaces: pairs of characters). One logistic output for each subject reads it. Features are hashed to ``SLOTS`` rows, so the
+model has a bound that does not depend on the corpus. A feature's weight falls to zero where it stands in ``COMMON`` or more of the
+documents of some language, and grows with the documents that support it; both are counted over all documents.
+
+Training has one first stage on the labelled samples (all rows, at most ``SAMPLE_ROWS``) and ``STAGES`` stages on all documents
+and the samples. In a stage the model before names the subjects of each document (at least ``LEAST_SHARE`` of its distinct
+sentences speak about them), and every sentence of the document is taught them: a word that stands in documents of a subject
+comes out sure, a word that stands everywhere comes out at the subject's share of all documents, which is no evidence. Every
+step is synchronous: each partition sums the gradients of its documents, the sums are added by ranges of features, and one Adam
+step follows. A step reads one of ``SLICES`` slices of the documents, cut by the hash of their keys; a stage reads all of them
+``STEPS / SLICES`` times. The result depends on partitioning only through the order of float additions.
 
 A document has a subject if at least ``LEAST_SHARE`` of its distinct sentences speak about it. Defined results: null, empty
-and wordless texts have no subject; a sentence that comes twice counts once.
+and wordless texts have no subject; a sentence that comes twice in a document counts once; rows with a null key are left out.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import unicodedata
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -31,23 +36,26 @@ from phonoloom.llm.langid import label_language
 from phonoloom.session import stored
 
 SAMPLE_ROWS, LEAST_SHARE = 5_000, 0.25
-SHARDS, DIM, RATE = 8, 8, 0.08
-#: Rounds and steps on the samples, and on sentences of documents. A shard of more than ``BLOCK`` rows shares the steps of a
-#: round among its blocks.
-FIRST, LATER = (6, 15), (4, 25)
-BLOCK = 4_000
-#: Features counted at once on a worker before they are passed on.
-COUNTED = 200_000
-#: A sentence speaks about a subject from this probability on.
-SPEAKS = 0.6
-#: Stages of self-training, each by how far a document's score lies above the median of its language, in standard deviations:
-#: from the first value on a subject is taught, up to the second its absence, and documents between are left out. Scores that
-#: are not centred let a leaning of the first model towards one subject grow until all of a language has it.
-STAGES = ((1.5, 0.8), (1.5, 0.8), (1.5, 0.8))
+#: Rows of the embedding table, and its width.
+SLOTS, DIM = 1 << 20, 8
+#: Documents of a language that a feature may stand in before it says nothing; documents by which that share is smoothed;
+#: documents at which half of a feature's weight is there.
+COMMON, SMOOTHING, SUPPORT = 0.3, 20, 10
+#: Steps and rate on the samples, and for each stage on documents; how much the samples count beside the documents.
+FIRST_STEPS, FIRST_RATE = 40, 0.1
+STAGES, STEPS, SLICES, RATE, SAMPLE_WEIGHT = 4, 16, 8, 0.15, 0.05
+#: Letters of the beginning that is a longer word's subword.
+SUBWORD = 5
+#: Ranges of features whose gradients are added apart from each other.
+RANGES = 16
+#: Bytes of gradients up to which the driver adds those of all partitions itself; more are added by ranges on workers first.
+DRIVER_BYTES = 32 << 20
 NO_SUBJECT = "none"
 
 _RUN = regex.compile(r"[\p{L}\p{M}]+")
 _UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}ー]")
+_SCRIPT_RUN = regex.compile(r"[\p{Katakana}ー]+|[\p{Han}々]+|\p{Hiragana}+|[^\p{Han}\p{Hiragana}\p{Katakana}ー]+")
+_KATAKANA = regex.compile(r"[\p{Katakana}ー]")
 _GAP = regex.compile(r"(?<=[\p{Han}\p{Hiragana}\p{Katakana}ー]) (?=[\p{Han}\p{Hiragana}\p{Katakana}ー])")
 
 
@@ -57,22 +65,23 @@ def letters(text: str) -> str:
 
 
 def tokens(form: str) -> list[str]:
-    """Words of a form of letters, and for scripts without spaces every character n-gram of 2 to 4."""
+    """Words of a form of letters; in scripts without spaces runs of katakana and pairs of other characters."""
     out: list[str] = []
     for w in form.split():
-        if not w.isascii() and _UNSPACED.search(w):
-            out += [w[i : i + n] for n in (2, 3, 4) for i in range(len(w) - n + 1)]
-        else:
+        if w.isascii() or not _UNSPACED.search(w):
             out.append(w)
+            continue
+        for run in _SCRIPT_RUN.findall(unicodedata.normalize("NFC", w)):
+            if len(run) > 1 and _UNSPACED.match(run) and not _KATAKANA.match(run):
+                out += [run[i : i + 2] for i in range(len(run) - 1)]
+            else:
+                out.append(run)
     return out
 
 
 def features(token: str) -> list[str]:
-    """A token and, from five letters on, its subwords."""
-    if len(token) < 5:
-        return [token]
-    t = f"<{token}>"
-    return [token, *(t[i : i + 5] for i in range(len(t) - 4))]
+    """A token and, if it is longer than a subword, its beginning."""
+    return [token] if len(token) <= SUBWORD else [token, f"<{token[:SUBWORD]}"]
 
 
 def document_sentences(text: str, model: sent.Model) -> list[str]:
@@ -87,350 +96,306 @@ def document_sentences(text: str, model: sent.Model) -> list[str]:
     return list(out)
 
 
-class Embedded:
-    """Embeddings of the known features, output weights and their folded product."""
+class Slotter:
+    """Slots of the features of sentences; the slots of ``LIMIT`` tokens are remembered."""
 
-    def __init__(self, vocabulary: Sequence[str], subjects: Sequence[str], dim: int = DIM, seed: int = 7) -> None:
-        rng = np.random.default_rng(seed)
-        self.subjects = list(subjects)
-        self.index = {f: i for i, f in enumerate(vocabulary)}
-        self.table = rng.normal(0, 0.1, (len(vocabulary), dim))
-        self.out = rng.normal(0, 0.5, (dim, len(subjects)))
-        self.bias = np.full(len(subjects), -2.0)
+    LIMIT = 200_000
 
-    def ids(self, sentence: str) -> list[int]:
-        get = self.index.get
-        return [i for t in tokens(sentence) for f in features(t) if (i := get(f)) is not None]
+    def __init__(self) -> None:
+        self.known: dict[str, bytes] = {}
 
-    def scorer(self) -> "Scorer":
-        return Scorer(self)
+    def __call__(self, form: str) -> bytes:
+        out = []
+        for t in tokens(form):
+            if (b := self.known.get(t)) is None:
+                if len(self.known) >= self.LIMIT:
+                    self.known.clear()
+                b = self.known[t] = np.array([crc32(f.encode()) % SLOTS for f in features(t)], np.int32).tobytes()
+            out.append(b)
+        return b"".join(out)
 
 
-class Scorer:
-    """Scores sentences with a cache of the summed contribution of each token."""
+class Rows:
+    """Sentences as weighted features: ``at`` (rows of the table), ``weight`` (sums to 1 in a sentence) and sentence lengths."""
 
-    LIMIT = 300_000
+    def __init__(self, slots: np.ndarray, lengths: np.ndarray, known: np.ndarray, weight: np.ndarray) -> None:
+        owner = np.repeat(np.arange(len(lengths)), lengths)
+        at = np.searchsorted(known, slots)
+        hit = (known[np.minimum(at, len(known) - 1)] == slots) if len(known) else np.zeros(len(slots), bool)
+        at, owner = at[hit], owner[hit]
+        w = weight[at].astype(np.float32)
+        total = np.bincount(owner, w, minlength=len(lengths))
+        self.n, self.at, self.owner = len(lengths), at, owner
+        self.weight = (w / np.maximum(total, 1e-9)[owner]).astype(np.float32)[:, None]
+        self.starts = np.flatnonzero(np.diff(owner, prepend=-1))
 
-    def __init__(self, model: Embedded) -> None:
-        self.folded = model.table @ model.out
-        self.index, self.bias = model.index, model.bias
-        self.cache: dict[str, np.ndarray] = {}
+    def average(self, table: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.n, table.shape[1]), np.float32)
+        if len(self.at):
+            out[self.owner[self.starts]] = np.add.reduceat(table[self.at] * self.weight, self.starts, axis=0)
+        return out
 
-    def token(self, t: str) -> np.ndarray:
-        v = self.cache.get(t)
-        if v is None:
-            at = [i for f in features(t) if (i := self.index.get(f)) is not None]
-            v = np.append(self.folded[at].sum(0), len(at)) if at else np.zeros(len(self.bias) + 1)
-            if len(self.cache) >= self.LIMIT:
-                self.cache.clear()
-            self.cache[t] = v
-        return v
+    def backward(self, to_rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the table that are used, in order, and their gradients."""
+        order = np.argsort(self.at, kind="stable")
+        at = self.at[order]
+        starts = np.flatnonzero(np.diff(at, prepend=-1))
+        if not len(starts):
+            return at, np.zeros((0, to_rows.shape[1]), np.float32)
+        return at[starts], np.add.reduceat(to_rows[self.owner[order]] * self.weight[order], starts, axis=0)
 
-    def logits(self, lines: Sequence[str]) -> np.ndarray:
-        out = np.zeros((len(lines), len(self.bias)))
-        for k, s in enumerate(lines):
-            ts = tokens(s)
-            if ts:
-                total = np.sum([self.token(t) for t in ts], axis=0)
-                out[k] = total[:-1] / max(total[-1], 1.0)
-        return out + self.bias
-
-    def probabilities(self, lines: Sequence[str]) -> np.ndarray:
-        return 1 / (1 + np.exp(-self.logits(lines)))
-
-
-def local_steps(table, out, bias, ids: list[Sequence[int]], target: np.ndarray, steps: int, rate: float, decay: float = 0.0):
-    """Gradient steps (Adam) on one shard's rows; returns the changed parameters."""
-    n = len(ids)
-    flat = np.concatenate([np.asarray(x, np.int64) for x in ids]) if n else np.zeros(0, np.int64)
-    size = np.array([max(1, len(x)) for x in ids], np.float64)
-    owner = np.repeat(np.arange(n), [len(x) for x in ids])
-    used, local = np.unique(flat, return_inverse=True)
-    order = np.argsort(local, kind="stable")
-    starts = np.flatnonzero(np.diff(local[order], prepend=-1))
-    row_starts = np.flatnonzero(np.diff(owner, prepend=-1))
-    rows = owner[row_starts]
-    emb, out, bias = table[used].copy(), out.copy(), bias.copy()
-    params = [emb, out, bias]
-    m1, m2 = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    for step in range(1, steps + 1):
-        h = np.zeros((n, emb.shape[1]))
-        h[rows] = np.add.reduceat(emb[local], row_starts, axis=0)
-        h /= size[:, None]
-        p = 1 / (1 + np.exp(-(h @ out + bias)))
-        err = (p - target) / n
-        back = (err @ out.T) / size[:, None]
-        grads = [np.add.reduceat(back[owner[order]], starts, axis=0) + decay * emb, h.T @ err + decay * out, err.sum(0)]
-        for k, g in enumerate(grads):
-            m1[k] = 0.9 * m1[k] + 0.1 * g
-            m2[k] = 0.99 * m2[k] + 0.01 * g * g
-            params[k] -= rate * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.99**step)) + 1e-9)
-    return used, emb, out, bias
-
-
-def synchronise(model: Embedded, parts: list[tuple]) -> None:
-    """Averages what the shards changed: (rows, used, embeddings, out, bias) of each, in a fixed order."""
-    total = sum(p[0] for p in parts)
-    seen = np.zeros(len(model.table))
-    change = np.zeros_like(model.table)
-    out, bias = np.zeros_like(model.out), np.zeros_like(model.bias)
-    for n, used, emb, o, b in parts:
-        change[used] += n * (emb - model.table[used])
-        seen[used] += n
-        out += n / total * o
-        bias += n / total * b
-    hit = seen > 0
-    model.table[hit] += change[hit] / seen[hit, None]
-    model.out, model.bias = out, bias
-
-
-class Steps:
-    """One shard's gradient steps (Adam) within a round, on one block of rows after another."""
-
-    def __init__(self, table: np.ndarray, out: np.ndarray, bias: np.ndarray) -> None:
-        self.params = [table.copy(), out.copy(), bias.copy()]
-        self.moments = [(np.zeros_like(p), np.zeros_like(p)) for p in self.params]
-        self.seen = np.zeros(len(table), bool)
-        self.step = 0
 
-    def take(self, flat: np.ndarray, lengths: np.ndarray, target: np.ndarray, steps: int, rate: float) -> None:
-        emb, out, bias = self.params
-        n = len(lengths)
-        owner = np.repeat(np.arange(n), lengths)
-        size = np.maximum(lengths, 1).astype(np.float64)[:, None]
-        order = np.argsort(flat, kind="stable")
-        starts = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        used = flat[order][starts]
-        row_starts = np.flatnonzero(np.diff(owner, prepend=-1))
-        rows = owner[row_starts]
-        by_feature = owner[order]
-        self.seen[used] = True
-        for _ in range(steps):
-            self.step += 1
-            h = np.zeros((n, emb.shape[1]))
-            if len(flat):
-                h[rows] = np.add.reduceat(emb[flat], row_starts, axis=0)
-            h /= size
-            err = (1 / (1 + np.exp(-(h @ out + bias))) - target) / n
-            back = (err @ out.T) / size
-            first = np.zeros_like(emb)
-            if len(flat):
-                first[used] = np.add.reduceat(back[by_feature], starts, axis=0)
-            for p, (m1, m2), g in zip(self.params, self.moments, (first, h.T @ err, err.sum(0))):
-                m1 *= 0.9
-                m1 += 0.1 * g
-                m2 *= 0.99
-                m2 += 0.01 * g * g
-                p -= rate * (m1 / (1 - 0.9**self.step)) / (np.sqrt(m2 / (1 - 0.99**self.step)) + 1e-9)
-
-
-def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Blocks of ``BLOCK`` rows at most, each preceded by the labelled rows, which come first."""
-    labelled: list[pd.DataFrame] = []
-    rest: list[pd.DataFrame] = []
-    given = False
-    for batch in batches:
-        labelled.append(batch[batch["labelled"]])
-        rest.append(batch[~batch["labelled"]])
-        if sum(map(len, rest)) >= BLOCK:
-            held = pd.concat(rest)
-            cut = len(held) // BLOCK * BLOCK
-            for k in range(0, cut, BLOCK):
-                given = True
-                yield pd.concat([*labelled, held[k : k + BLOCK]])
-            rest = [held[cut:]]
-    if sum(map(len, rest)) or not given:
-        yield pd.concat([*labelled, *rest])
-
-
-def _shard_work(given, sizes: dict[int, int], steps: int):
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        local, n, shard = Steps(*given.value), 0, 0
-        subjects = len(given.value[2])
-        for block in _blocks(batches):
-            shard = int(block["shard"].iloc[0])
-            flat = np.frombuffer(b"".join(block["ids"]), np.int32).astype(np.int64)
-            lengths = np.array([len(x) // 4 for x in block["ids"]], np.int64)
-            target = np.frombuffer(b"".join(block["target"]), np.uint8).reshape(-1, subjects).astype(np.float64)
-            local.take(flat, lengths, target, max(1, round(steps / max(1, -(-sizes[shard] // BLOCK)))), RATE)
-            n += len(block)
-        used = np.flatnonzero(local.seen)
-        table, out, bias = local.params
-        changed = (table[used], out, bias)
-        yield pd.DataFrame(
-            [(shard, n, used.astype(np.int64).tobytes(), *(c.tobytes() for c in changed))],
-            columns=["shard", "n", "used", "emb", "out", "bias"],
-        )
-
-    return work
-
-
-def fit(model: Embedded, rows: DataFrame, rounds: int, steps: int) -> Embedded:
-    """Trains on rows of ``_ROWS``: every row in every round."""
-    context = rows.sparkSession.sparkContext
-    dim = model.table.shape[1]
-    shape = "shard int, n bigint, used binary, emb binary, out binary, bias binary"
-    sizes = {r["shard"]: r["n"] for r in rows.groupBy("shard").agg(F.count_if(~F.col("labelled")).alias("n")).collect()}
-    # Sorted once, labelled rows first: the grouping needs no other order.
-    ordered = rows.repartition(SHARDS, "shard").sortWithinPartitions("shard", F.desc("labelled"), F.xxhash64("row_key"), "row_key")
-    for _ in range(rounds):
-        given = context.broadcast((model.table, model.out, model.bias))
-
-        # A fixed number of shards, each no larger than the model: a bounded result.
-        got = ordered.groupBy("shard").applyInPandas(_shard_work(given, sizes, steps), shape).collect()
-        f = lambda b, *to: np.frombuffer(bytes(b), np.float64).reshape(*to)
-        parts = [(r["n"], np.frombuffer(bytes(r["used"]), np.int64), f(r["emb"], -1, dim), f(r["out"], dim, -1), f(r["bias"], -1)) for r in sorted(got, key=lambda r: r["shard"])]
-        given.unpersist()
-        if parts:
-            synchronise(model, parts)
-    return model
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-#: Training rows; ``ids`` holds 32-bit indexes of features, ``target`` a byte of 0 or 1 for each subject.
-_ROWS = "shard int, row_key string, labelled boolean, ids binary, target binary"
-_FORMS = "row_key string, form string, target binary"
+@dataclass
+class Embedded:
+    """Embeddings of the known slots, weights of their features, and the logistic outputs."""
 
+    subjects: list[str]
+    known: np.ndarray
+    weight: np.ndarray
+    table: np.ndarray
+    out: np.ndarray
+    bias: np.ndarray
 
-def _vocabulary(forms: DataFrame, least: int) -> list[str]:
-    """Features of at least ``least`` rows of the column ``form``, in order; workers count before the shuffle."""
+    @classmethod
+    def fresh(cls, subjects: Sequence[str], known: np.ndarray, weight: np.ndarray, seed: int = 7) -> Embedded:
+        rng = np.random.default_rng(seed)
+        table = rng.normal(0, 0.1, (len(known), DIM)).astype(np.float32)
+        out = rng.normal(0, 0.5, (DIM, len(subjects))).astype(np.float32)
+        return cls(list(subjects), known, weight, table, out, np.full(len(subjects), -2.0, np.float32))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, list[str]] = {}
-        count: Counter[str] = Counter()
-        for batch in batches:
-            for s in batch["form"]:
-                of = set()
-                for t in tokens(s):
-                    if (fs := known.get(t)) is None:
-                        if len(known) >= COUNTED:
-                            known.clear()
-                        fs = known[t] = features(t)
-                    of.update(fs)
-                count.update(of)
-            if len(count) >= COUNTED:
-                yield pd.DataFrame({"f": list(count), "n": list(count.values())})
-                count.clear()
-        yield pd.DataFrame({"f": list(count), "n": list(count.values())})
-
-    rows = forms.select("form").mapInPandas(run, "f string, n bigint").groupBy("f").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    return sorted(r["f"] for r in rows.select("f").collect())
-
-
-def _training_rows(forms: DataFrame, model: Embedded) -> DataFrame:
-    """``row_key, form, target, labelled`` as rows of ``fit``."""
-    given = forms.sparkSession.sparkContext.broadcast(model.index)
+    @property
+    def parameters(self) -> list[np.ndarray]:
+        return [self.table, self.out, self.bias]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = given.value.get
-        known: dict[str, bytes] = {}
+    def folded(self) -> np.ndarray:
+        return self.table @ self.out
 
-        def ids(t: str) -> bytes:
-            if (b := known.get(t)) is None:
-                if len(known) >= COUNTED:
-                    known.clear()
-                b = known[t] = np.array([i for f in features(t) if (i := get(f)) is not None], np.int32).tobytes()
-            return b
+    def logits(self, lines: Sequence[str]) -> np.ndarray:
+        """Of sentences in the form of ``letters``."""
+        slotter = Slotter()
+        parts = [np.frombuffer(slotter(s), np.int32) for s in lines]
+        rows = Rows(np.concatenate([*parts, np.zeros(0, np.int32)]), np.array([len(p) for p in parts], np.int64), self.known, self.weight)
+        return rows.average(self.folded()) + self.bias
 
-        for batch in batches:
-            column = [b"".join(map(ids, tokens(s))) for s in batch["form"]]
-            yield pd.DataFrame({"shard": batch["shard"], "row_key": batch["row_key"], "labelled": batch["labelled"], "ids": column, "target": batch["target"]})
 
-    sharded = forms.withColumn("shard", F.pmod(F.xxhash64("row_key"), F.lit(SHARDS)).cast("int"))
-    return stored(sharded.select("shard", "row_key", "labelled", "form", "target").mapInPandas(run, _ROWS))
+def gradient(model: Embedded, rows: Rows, target: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Used rows of the table, and summed gradients of them, of the outputs and of the biases."""
+    mean = rows.average(model.table)
+    error = (sigmoid(mean @ model.out + model.bias) - target).astype(np.float32)
+    used, first = rows.backward(error @ model.out.T)
+    return used, [first, mean.T @ error, error.sum(0)]
 
 
-def _targets(distance: np.ndarray, stage: tuple[float, float]) -> bytes | None:
-    """What a document teaches about each subject, a byte for each, or None if it is unclear."""
-    sure, absent = stage
-    if ((distance > absent) & (distance < sure)).any():
-        return None
-    return bytes(int(v >= sure) for v in distance)
+class Adam:
+    def __init__(self, parameters: list[np.ndarray]) -> None:
+        self.moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parameters]
+        self.step = 0
 
+    def take(self, parameters: list[np.ndarray], gradients: list[np.ndarray], rate: float) -> None:
+        self.step += 1
+        for p, (m1, m2), g in zip(parameters, self.moments, gradients):
+            m1 *= 0.9
+            m1 += 0.1 * g
+            m2 *= 0.99
+            m2 += 0.01 * g * g
+            p -= rate * (m1 / (1 - 0.9**self.step)) / (np.sqrt(m2 / (1 - 0.99**self.step)) + 1e-9)
 
-def _self_labelled(documents: DataFrame, model: Embedded, stage: tuple[float, float]) -> DataFrame:
-    """``row_key, form, target`` of the sentences of documents that the model is sure about."""
-    given = documents.sparkSession.sparkContext.broadcast(model)
-    columns = ["k", "lang", "forms", "score"]
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = given.value.scorer()
-        for batch in batches:
-            batch = batch[batch["forms"].map(len) > 0]
-            whole = np.rint(100 * scorer.logits([" ".join(f) for f in batch["forms"]])).astype(np.int64)
-            yield batch.assign(score=list(whole))[columns]
-
-    shape = "k bigint, lang string, forms array<string>, score array<bigint>"
-    scored = stored(documents.filter("lang IS NOT NULL").mapInPandas(score, shape))
-    # Whole hundredths: sums and medians are exact, the same in any order, and the counted values are few.
-    by_language = scored.groupBy("lang").agg(
-        *(f(F.element_at("score", i + 1)).alias(f"{name}{i}") for i in range(len(model.subjects)) for name, f in (("mid", F.median), ("sum", F.sum))),
-        *(F.sum(F.element_at("score", i + 1) * F.element_at("score", i + 1)).alias(f"square{i}") for i in range(len(model.subjects))),
-        F.count("*").alias("n"),
-    )
-    centre = {}
-    for r in by_language.collect():  # one row for each language of ``langid.NAMES``
-        mid, total, square = (np.array([float(r[f"{name}{i}"]) for i in range(len(model.subjects))]) for name in ("mid", "sum", "square"))
-        centre[r["lang"]] = mid, np.sqrt(np.maximum(square / r["n"] - (total / r["n"]) ** 2, 0)) + 1e-9
-
-    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for k, lang, forms, whole in zip(batch["k"].tolist(), batch["lang"], batch["forms"], batch["score"]):
-                mid, spread = centre[lang]
-                target = _targets((whole - mid) / spread, stage)
-                if target is not None:
-                    rows += [(f"{k}/{no}", s, target) for no, s in enumerate(forms)]
-            yield pd.DataFrame(rows, columns=["row_key", "form", "target"])
+def shares(rows: Rows, folded: np.ndarray, bias: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Share of the sentences of each document that speak about each subject (a probability above a half); ``sizes`` are sentences."""
+    speaks = (rows.average(folded) + bias > 0).astype(np.float64)
+    total = np.concatenate([np.zeros((1, speaks.shape[1])), np.cumsum(speaks, axis=0)])
+    ends = np.cumsum(sizes)
+    return (total[ends] - total[ends - sizes]) / np.maximum(sizes, 1)[:, None]
 
-    return stored(scored.mapInPandas(label, _FORMS))
+
+def unpacked(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slots of all sentences, their lengths, and the sentences of each document."""
+    lengths = np.frombuffer(b"".join(batch["lengths"]), np.int32).astype(np.int64)
+    return np.frombuffer(b"".join(batch["slots"]), np.int32), lengths, np.array([len(x) // 4 for x in batch["lengths"]], np.int64)
 
 
 def split(df: DataFrame, key: str, lang: str, text: str, model: sent.Model) -> DataFrame:
-    """``k, lang, forms``: the language that the label names and the distinct sentences of each document, kept for training and scoring."""
+    """``k, lang, lengths, slots, slice`` of each document, stored for training and scoring: the language that its label names
+    ('' for none), and the slots of the features of its distinct sentences as 32-bit numbers, one sentence after another."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        slotter = Slotter()
         for batch in batches:
-            forms = [document_sentences(t, model) if t else [] for t in batch["t"]]
-            yield pd.DataFrame({"k": batch["k"], "lang": [label_language(x) for x in batch["lang"]], "forms": forms})
+            found = [[slotter(s) for s in document_sentences(t, model)] if t else [] for t in batch["t"]]
+            yield pd.DataFrame({
+                "k": batch["k"],
+                "lang": [label_language(x) or "" for x in batch["lang"]],
+                "lengths": [np.array([len(s) // 4 for s in f], np.int32).tobytes() for f in found],
+                "slots": [b"".join(f) for f in found],
+            })
 
-    rows = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(lang).alias("lang"), F.col(text).alias("t"))
-    return stored(rows.mapInPandas(run, "k bigint, lang string, forms array<string>"))
+    rows = df.filter(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("k"), F.col(lang).alias("lang"), F.col(text).alias("t"))
+    made = rows.mapInPandas(run, "k bigint, lang string, lengths binary, slots binary")
+    return stored(made.withColumn("slice", F.pmod(F.xxhash64("k"), F.lit(SLICES)).cast("int")), "slice")
 
 
-def train(documents: DataFrame, samples: DataFrame) -> Embedded:
-    """The model, from ``samples`` (sample_id, subject, text) and all documents as ``split`` gives them."""
-    rows = samples.filter(F.col("text").isNotNull() & F.col("subject").isNotNull()).select("sample_id", "subject", "text").orderBy("sample_id").limit(SAMPLE_ROWS).collect()
-    subjects = sorted({r["subject"] for r in rows} - {NO_SUBJECT})
+def feature_weights(documents: DataFrame, samples: list[tuple[str, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Slots that carry weight, in order, and their weights: at most ``SLOTS``, from counts over all documents and the samples
+    (language, slots). Workers count before the shuffle."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        count: dict[str, np.ndarray] = {}
+        held = 0
+        for batch in batches:
+            for lang, some in batch.groupby("lang"):
+                slots = [np.unique(np.frombuffer(s, np.int32)) for s in some["slots"] if s]
+                total = count.get(lang)
+                if total is None:
+                    total = count[lang] = np.zeros(SLOTS + 1, np.int64)
+                    held += 1
+                total[SLOTS] += len(slots)
+                if slots:
+                    total[:SLOTS] += np.bincount(np.concatenate(slots), minlength=SLOTS)
+            if held > 8:  # labels may name many languages
+                yield from emit(count)
+                held = 0
+        yield from emit(count)
+
+    def emit(count: dict[str, np.ndarray]) -> Iterator[pd.DataFrame]:
+        for lang, total in count.items():
+            at = np.flatnonzero(total)
+            yield pd.DataFrame({"lang": lang, "slot": at.astype(np.int32), "n": total[at]})
+        count.clear()
+
+    counts = documents.select("lang", "slots").mapInPandas(run, "lang string, slot int, n bigint").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     spark = documents.sparkSession
-    labelled = [(f"sample/{r['sample_id']}", letters(_GAP.sub("", r["text"])), bytes(int(r["subject"] == s) for s in subjects)) for r in rows]
-    samples = spark.createDataFrame(labelled, _FORMS).withColumn("labelled", F.lit(True))
-    known = _vocabulary(samples, 2)
-    model = Embedded(known, subjects)
-    fit(model, _training_rows(samples, model), *FIRST)
-    for stage in STAGES:
-        forms = _self_labelled(documents, model, stage)
-        words = _vocabulary(forms, 3)
-        if not words:
-            break
-        model = Embedded(sorted({*known, *words}), subjects)
-        fit(model, _training_rows(forms.withColumn("labelled", F.lit(False)).unionByName(samples), model), *LATER)
+    extra = [(lang, int(s), 1) for lang, slots in samples for s in [*np.unique(slots), SLOTS]]
+    counts = counts.unionByName(spark.createDataFrame(extra, counts.schema)).groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+    whole = F.max_by(F.col("n"), F.when(F.col("slot") == SLOTS, 1).otherwise(0)).alias("documents")
+    # One row for each language that a label names, then one for each slot at most.
+    sizes = counts.groupBy("lang").agg(whole)
+    part = F.when(F.col("lang") == "", 0.0).otherwise(F.col("n") / (F.col("documents") + SMOOTHING))
+    per = counts.filter(F.col("slot") < SLOTS).join(sizes, "lang").groupBy("slot").agg(F.max(part).alias("share"), F.sum("n").alias("n"))
+    got = per.filter(F.col("share") < COMMON).toPandas().sort_values("slot")
+    share, n = got["share"].to_numpy(float), got["n"].to_numpy(float)
+    weight = np.clip(np.log(COMMON / np.maximum(share, 1e-9)), 0, 1) * n / (n + SUPPORT)
+    return got["slot"].to_numpy(np.int32), weight.astype(np.float32)
+
+
+def _summed(part: DataFrame, model: Embedded, before: tuple[np.ndarray, np.ndarray], shared) -> tuple[int, list[np.ndarray]]:
+    """Sentences of a slice and their summed gradients."""
+    context = part.sparkSession.sparkContext
+    given = context.broadcast(model.parameters)
+    per_range = -(-max(len(model.known), 1) // RANGES)
+    shape = "range int, n bigint, at binary, g binary"
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        subjects, known, weight, folded, bias = shared.value
+        local = Embedded(subjects, known, weight, *given.value)
+        total, n = [np.zeros_like(p) for p in local.parameters], 0
+        for batch in batches:
+            slots, lengths, sizes = unpacked(batch)
+            rows = Rows(slots, lengths, known, weight)
+            target = np.repeat(shares(rows, folded, bias, sizes) >= LEAST_SHARE, sizes, axis=0).astype(np.float32)
+            used, (first, out, b) = gradient(local, rows, target)
+            total[0][used] += first
+            total[1] += out
+            total[2] += b
+            n += rows.n
+        used = np.flatnonzero(total[0].any(1))
+        made = [(-1, n, b"", np.concatenate([total[1].ravel(), total[2]]).astype(np.float32).tobytes())]
+        for r, at in ((r, used[used // per_range == r]) for r in np.unique(used // per_range)):
+            made.append((int(r), 0, at.astype(np.int32).tobytes(), total[0][at].tobytes()))
+        yield pd.DataFrame(made, columns=["range", "n", "at", "g"])
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, list] = {}
+        for batch in batches:
+            for r, n, at, g in batch.itertuples(index=False):
+                values = np.frombuffer(g, np.float32)
+                got = held.get(r)
+                if got is None:
+                    got = held[r] = [0, np.zeros(len(values)) if r < 0 else np.zeros((per_range, DIM), np.float32)]
+                got[0] += n
+                if r < 0:
+                    got[1] += values
+                else:
+                    got[1][np.frombuffer(at, np.int32) - r * per_range] += values.reshape(-1, DIM)
+        made = []
+        for r, (n, g) in held.items():
+            used = np.flatnonzero(g.any(1)) if r >= 0 else slice(None)
+            at = (used + r * per_range).astype(np.int32).tobytes() if r >= 0 else b""
+            made.append((r, n, at, g[used].astype(np.float32).tobytes()))
+        yield pd.DataFrame(made, columns=["range", "n", "at", "g"])
+
+    sums = part.select("lengths", "slots").mapInPandas(add, shape)
+    if part.rdd.getNumPartitions() * model.table.nbytes > DRIVER_BYTES:
+        # One row for each range of features comes back: together as large as the model.
+        sums = sums.repartition(RANGES, "range").mapInPandas(merge, shape)
+    got = sums.collect()
+    given.destroy()
+    total, n = [np.zeros_like(p) for p in model.parameters], 0
+    for r in got:
+        values = np.frombuffer(bytes(r["g"]), np.float32)
+        if r["range"] < 0:
+            n += r["n"]
+            total[1] += values[: model.out.size].reshape(model.out.shape)
+            total[2] += values[model.out.size :]
+        else:
+            total[0][np.frombuffer(bytes(r["at"]), np.int32)] += values.reshape(-1, DIM)
+    return n, total
+
+
+def train(documents: DataFrame, samples: DataFrame, units: sent.Model) -> Embedded:
+    """The model, from ``samples`` (sample_id, subject, lang, text) and all documents as ``split`` gives them."""
+    rows = samples.filter(F.col("text").isNotNull() & F.col("subject").isNotNull()).select("sample_id", "subject", "lang", "text").orderBy("sample_id").limit(SAMPLE_ROWS).collect()
+    subjects = sorted({r["subject"] for r in rows} - {NO_SUBJECT})
+    slotter = Slotter()
+    labelled = [(r, np.frombuffer(slotter(s), np.int32)) for r in rows for s in document_sentences(r["text"], units)]
+    whole: dict[int, list[np.ndarray]] = {}
+    for r, slots in labelled:
+        whole.setdefault(r["sample_id"], []).append(slots)
+    language = {r["sample_id"]: label_language(r["lang"]) or "" for r in rows}
+    known, weight = feature_weights(documents, [(language[k], np.concatenate(v)) for k, v in whole.items()])
+    target = np.array([[float(r["subject"] == s) for s in subjects] for r, _ in labelled], np.float32).reshape(len(labelled), len(subjects))
+    sample_rows = Rows(np.concatenate([*(x for _, x in labelled), np.zeros(0, np.int32)]), np.array([len(x) for _, x in labelled], np.int64), known, weight)
+
+    def of_samples(model: Embedded) -> list[np.ndarray]:
+        used, gradients = gradient(model, sample_rows, target)
+        first = np.zeros_like(model.table)
+        first[used] = gradients[0]
+        return [g / max(sample_rows.n, 1) for g in (first, *gradients[1:])]
+
+    model = Embedded.fresh(subjects, known, weight)
+    adam = Adam(model.parameters)
+    for _ in range(FIRST_STEPS):
+        adam.take(model.parameters, of_samples(model), FIRST_RATE)
+    slices = [documents.filter(F.col("slice") == k) for k in range(SLICES)]
+    context = documents.sparkSession.sparkContext
+    for _ in range(STAGES):
+        before = model.folded(), model.bias.copy()
+        shared = context.broadcast((subjects, known, weight, *before))
+        model = Embedded.fresh(subjects, known, weight)
+        adam = Adam(model.parameters)
+        for step in range(STEPS):
+            n, total = _summed(slices[step % SLICES], model, before, shared)
+            adam.take(model.parameters, [g / max(n, 1) + SAMPLE_WEIGHT * s for g, s in zip(total, of_samples(model))], RATE)
+        shared.destroy()
     return model
 
 
 def subject_shares(documents: DataFrame, model: Embedded) -> DataFrame:
     """``doc_id, subject, share, n_sentences`` of each document of ``split`` and subject that any of its sentences speaks about."""
-    given = documents.sparkSession.sparkContext.broadcast(model)
+    given = documents.sparkSession.sparkContext.broadcast((model.subjects, model.known, model.weight, model.folded(), model.bias))
     columns = ["doc_id", "subject", "share", "n_sentences"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        local = given.value
-        scorer, names = local.scorer(), local.subjects
+        names, known, weight, folded, bias = given.value
         for batch in batches:
-            rows = []
-            for k, forms in zip(batch["k"].tolist(), batch["forms"]):
-                if len(forms):
-                    share = (scorer.probabilities(forms) > SPEAKS).mean(0)
-                    rows += [(k, s, float(v), len(forms)) for s, v in zip(names, share) if v > 0]
-            yield pd.DataFrame(rows, columns=columns)
-
-    return documents.mapInPandas(run, "doc_id bigint, subject string, share double, n_sentences int")
+            slots, lengths, sizes = unpacked(batch)
+            share = shares(Rows(slots, lengths, known, weight), folded, bias, sizes)
+            doc, subject = np.nonzero(share)
+            keys = batch["k"].to_numpy()
+            yield pd.DataFrame({"doc_id": keys[doc], "subject": np.array(names, object)[subject], "share": share[doc, subject], "n_sentences": sizes[doc].astype(np.int32)}, columns=columns)
+
+    return documents.select("k", "lengths", "slots").mapInPandas(run, "doc_id bigint, subject string, share double, n_sentences int")

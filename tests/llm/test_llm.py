@@ -176,24 +176,39 @@ def test_position_inverts_the_schedule():
             assert (done if abs(tilt) < 1e-9 else 2 * done / (rest + np.sqrt(rest * rest + 4 * tilt * done))) == pytest.approx(t)
 
 
-def test_subject_training_separates_words():
-    rng = random.Random(2)
-    words = {"law": ["judge", "court", "verdict"], "sport": ["goal", "league", "coach"]}
-    rest = ["the", "lamp", "was", "early", "and", "nobody", "heard", "story"]
-    rows = []
-    for k in range(240):
-        s = [None, "law", "sport"][k % 3]
-        text = " ".join(rng.sample(rest, 5) + ([rng.choice(words[s])] if s else []))
-        rows.append((text, [float(s == "law"), float(s == "sport")]))
-    model = subjects.Embedded(sorted({f for t, _ in rows for w in subjects.tokens(t) for f in subjects.features(w)}), ["law", "sport"])
-    for _ in range(4):
-        parts = []
-        for shard in range(4):
-            some = rows[shard::4]
-            parts.append((len(some), *subjects.local_steps(model.table, model.out, model.bias, [model.ids(t) for t, _ in some], np.array([y for _, y in some]), 25, subjects.RATE)))
-        subjects.synchronise(model, parts)
-    p = model.scorer().probabilities(["the judge was early", "nobody heard the coach", "the lamp was early"])
-    assert p[0, 0] > 0.6 > p[0, 1] and p[1, 1] > 0.6 > p[1, 0] and p[2].max() < 0.6
+def test_summed_gradients_are_those_of_all_rows():
+    rng = np.random.default_rng(3)
+    known = np.arange(0, 400, 2, dtype=np.int32)
+    model = subjects.Embedded.fresh(["law", "sport"], known, np.linspace(0.1, 1, 200).astype(np.float32))
+    lengths = rng.integers(0, 6, 50)
+    slots, target = rng.integers(0, 400, lengths.sum()).astype(np.int32), (rng.random((50, 2)) < 0.3).astype(np.float32)
+
+    def loss(m):
+        rows = subjects.Rows(slots, lengths, known, m.weight)
+        p = subjects.sigmoid(rows.average(m.table) @ m.out + m.bias)
+        return -(target * np.log(p) + (1 - target) * np.log(1 - p)).sum()
+
+    whole = np.zeros_like(model.table)
+    used, (first, out, bias) = subjects.gradient(model, subjects.Rows(slots, lengths, known, model.weight), target)
+    whole[used] = first
+    halves = [np.zeros_like(model.table), np.zeros_like(model.out), np.zeros_like(model.bias)]
+    for a, b in ((0, 20), (20, 50)):
+        x, y = lengths[:a].sum(), lengths[:b].sum()
+        u, g = subjects.gradient(model, subjects.Rows(slots[x:y], lengths[a:b], known, model.weight), target[a:b])
+        halves[0][u] += g[0]
+        halves[1] += g[1]
+        halves[2] += g[2]
+    for mine, theirs in zip((whole, out, bias), halves):
+        assert np.allclose(mine, theirs, atol=1e-5)
+    model.table, model.out, model.bias = (x.astype(np.float64) for x in model.parameters)
+    for values, g in ((model.table, whole), (model.out, out), (model.bias, bias)):
+        at = np.unravel_index(np.abs(g).argmax(), g.shape)
+        before = values[at]
+        values[at] = before + 1e-3
+        up = loss(model)
+        values[at] = before - 1e-3
+        assert (up - loss(model)) / 2e-3 == pytest.approx(g[at], rel=0.05)
+        values[at] = before
 
 
 def test_subject_sentences():
@@ -201,39 +216,53 @@ def test_subject_sentences():
     assert unicodedata.normalize("NFC", "é") == "é"
 
 
-def test_subject_training_reads_every_document(spark):
+def _subject_tables(spark, n=3_000):
     rng = random.Random(4)
     rest = "the lamp was early and nobody heard story of his crew".split()
-    seen, rare = {"law": ["judge", "court"], "sport": ["goal", "league"]}, {"law": "verdict", "sport": "coach"}
+    seen = {"law": "judge court lawyer notary statute clause".split(), "sport": "goal league medal racket relay sprint".split()}
+    rare = {"law": "verdict", "sport": "coach"}
     samples = [(i, s, "en", " ".join(rng.sample(rest, 5) + rng.sample(seen.get(s, rest), 1))) for i, s in enumerate(["law", "sport", "none"] * 20)]
     documents = []
-    for i in range(3_000):
+    for i in range(n):
         s = [None, "law", "sport", None][i % 4]
         lines = [" ".join(rng.sample(rest, 6) + ([rng.choice(seen[s])] if s else [])) for _ in range(3)]
-        # The rare words come in documents that the hash order puts last.
-        documents.append((i, "en", "\n".join(lines), s))
-    df = spark.createDataFrame(documents, "doc_id long, lang string, text string, s string")
-    last = {r.doc_id for r in df.orderBy(F.xxhash64("doc_id").desc()).limit(400).collect()}
-    documents = [(i, l, t + (f"\n{t.splitlines()[0]} {rare[s]}" if s and i in last else "")) for i, l, t, s in documents]
-    df = spark.createDataFrame(documents, "doc_id long, lang string, text string")
-    forms = subjects.split(df, "doc_id", "lang", "text", MODEL)
-    model = subjects.train(forms, spark.createDataFrame(samples, "sample_id long, subject string, lang string, text string"))
-    assert {"verdict", "coach"} <= set(model.index) and {"judge", "court", "goal", "league"} <= set(model.index)
-    got = model.scorer().logits(["verdict", "coach"])
-    assert got[0].argmax() == model.subjects.index("law") and got[1].argmax() == model.subjects.index("sport")
-    found = {r.doc_id for r in subjects.subject_shares(forms, model).filter("share >= 0.25").collect()}
-    assert len(found ^ {i for i in range(3_000) if i % 4 in (1, 2)}) < 60
-
-
-def test_blocks_hold_the_labelled_rows_and_every_row():
-    import pandas as pd
-
-    n = 2 * subjects.BLOCK + 10
-    rows = pd.DataFrame({"labelled": [True] * 5 + [False] * n, "at": range(n + 5)})
-    got = list(subjects._blocks(iter([rows[:3], rows[3:6000], rows[6000:]])))
-    assert [len(b) for b in got] == [subjects.BLOCK + 5] * 2 + [15] and all(list(b["at"][:5]) == list(range(5)) for b in got)
-    assert sorted(x for b in got for x in b["at"] if x >= 5) == list(range(5, n + 5))
-    assert [len(b) for b in subjects._blocks(iter([rows[:5]]))] == [5]
+        # Words that no sample has.
+        lines += [f"{lines[0]} {rare[s]}"] if s and i % 11 == 0 else []
+        documents.append((i, "en", "\n".join(lines)))
+    extra = [(n, "en", None), (n + 1, None, ""), (n + 2, "xx", " \n...\n"), (None, "en", "the judge")]
+    return spark.createDataFrame(documents + extra, "doc_id long, lang string, text string"), spark.createDataFrame(samples, "sample_id long, subject string, lang string, text string")
+
+
+def test_subject_training_reads_every_document(spark, monkeypatch):
+    documents, samples = _subject_tables(spark)
+    rows = subjects.split(documents, "doc_id", "lang", "text", MODEL)
+    found = {}
+    # Gradients added on the driver, and by ranges of features on workers.
+    for most in (subjects.DRIVER_BYTES, 0):
+        monkeypatch.setattr(subjects, "DRIVER_BYTES", most)
+        monkeypatch.setattr(subjects, "STAGES", 2)
+        model = subjects.train(rows, samples, MODEL)
+        got = model.logits(["verdict", "coach", "lamp was early", ""])
+        law, sport = model.subjects.index("law"), model.subjects.index("sport")
+        assert got[0, law] > 0 > got[0, sport] and got[1, sport] > 0 > got[1, law] and got[2:].max() < 0
+        found[most] = {(r.doc_id, r.subject) for r in subjects.subject_shares(rows, model).filter("share >= 0.25").collect()}
+        assert found[most] == {(i, "law" if i % 4 == 1 else "sport") for i in range(3_000) if i % 4 in (1, 2)}
+    assert len(set(map(frozenset, found.values()))) == 1
+
+
+def test_subjects_of_an_empty_table(spark, monkeypatch):
+    monkeypatch.setattr(subjects, "STAGES", 1)
+    documents, samples = _subject_tables(spark, 0)
+    rows = subjects.split(documents.filter("doc_id < 0"), "doc_id", "lang", "text", MODEL)
+    assert subjects.subject_shares(rows, subjects.train(rows, samples, MODEL)).collect() == []
+    empty = spark.createDataFrame([], samples.schema)
+    rows = subjects.split(documents, "doc_id", "lang", "text", MODEL)
+    assert subjects.subject_shares(rows, subjects.train(rows, empty, MODEL)).collect() == []
+
+
+def test_subject_features_of_scripts_without_spaces():
+    assert subjects.tokens(subjects.letters("コートの審判が 実験")) == ["コート", "の", "審判", "が", "実験"]
+    assert subjects.features("courts") == ["courts", "<court"] and subjects.features("court") == ["court"]
 
 
 def test_repetition_does_not_depend_on_the_band(spark):
