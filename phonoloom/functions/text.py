@@ -30,11 +30,6 @@ def bare(c: Column) -> Column:
     return F.translate(F.lower(c), PUNCTUATION, "")
 
 
-def ascii_only(c: Column) -> Column:
-    """Every character beyond ASCII as a question mark."""
-    return F.regexp_replace(c, r"[^\x00-\x7F]", "?")
-
-
 def words(c: Column) -> Column:
     """Pieces between white space."""
     return F.filter(F.split(c, f"{SPACE}+"), lambda w: w != "")

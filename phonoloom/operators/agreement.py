@@ -7,10 +7,10 @@ break the comparison off).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from phonoloom.functions.text import ascii_only, lines, normal, strip
+from phonoloom.functions.text import lines, normal, strip
 
 
 def line_pairs(pairs: DataFrame, keys: list[str], text: str, segments: str, language: str) -> DataFrame:
@@ -22,17 +22,15 @@ def line_pairs(pairs: DataFrame, keys: list[str], text: str, segments: str, lang
     return rows.select(*keys, "lang", "line_no", "z.line", strip(F.coalesce(F.col("z.s.text"), F.lit(""))).alias("segment"))
 
 
-def matches(rows: DataFrame, most_edits: int = 0, fold_ascii: bool = False) -> DataFrame:
-    """Adds ``is_exact`` and ``is_norm``: equal, equal in normal form, or at most so many edits apart in normal form.
+def matches(rows: DataFrame, most_edits: int = 0) -> DataFrame:
+    """Adds ``is_exact`` and ``is_norm``: equal, equal in normal form, or at most so many edits of code points apart in normal form.
 
     The edit distance is only evaluated where the equality tests fail and the lengths allow it, and it gives up beyond the bound.
     """
-    fold = ascii_only if fold_ascii else (lambda c: c)
     rows = rows.withColumns({"_a": normal(F.col("line")), "_b": normal(F.col("segment"))})
     near: Column = F.lit(False)
     if most_edits > 0:
-        a, b = fold(F.col("_a")), fold(F.col("_b"))
-        near = F.when(F.abs(F.length("_a") - F.length("_b")) > most_edits, False).otherwise(F.levenshtein(a, b, most_edits).between(0, most_edits))
+        near = F.when(F.abs(F.length("_a") - F.length("_b")) > most_edits, False).otherwise(F.levenshtein("_a", "_b", most_edits).between(0, most_edits))
     exact = F.col("line") == F.col("segment")
     same = F.when(exact | (F.col("_a") == F.col("_b")), True).otherwise(near)
     return rows.withColumn("is_exact", exact).withColumn("is_norm", same).drop("_a", "_b")
@@ -44,9 +42,19 @@ _COUNTS = lambda: (
 
 
 def by_language(rows: DataFrame) -> DataFrame:
-    """Line counts and shares of each language; languages in order of their code."""
+    """Line counts of each language, their parts of the language's own lines, and three distributions: the language's shares of
+    all lines without an exact match, of all exact matches and of all normal matches (null where there are none at all).
+    Languages come in order of their code."""
     out = rows.groupBy("lang").agg(*_COUNTS())
-    return out.select("lang", "lines", "exact", "normalized", (F.lit(100.0) * F.col("exact") / F.col("lines")).alias("exact_pct"), (F.lit(100.0) * F.col("normalized") / F.col("lines")).alias("normalized_pct"))
+    everything = Window.partitionBy(F.lit(1))  # one row for each language
+    part = lambda n, of: F.lit(100.0) * n / of
+    share = lambda c: F.when(F.sum(c).over(everything) > 0, part(c, F.sum(c).over(everything)))
+    exact, normal_, missed = F.col("exact"), F.col("normalized"), F.col("lines") - F.col("exact")
+    out = out.select(
+        "lang", "lines", "exact", "normalized", part(exact, F.col("lines")).alias("exact_pct"), part(normal_, F.col("lines")).alias("normalized_pct"),
+        share(missed).alias("unmatched_share"), share(exact).alias("exact_share"), share(normal_).alias("normalized_share"),
+    )
+    return out.orderBy("lang")
 
 
 def totals(rows: DataFrame, keys: list[str]) -> DataFrame:

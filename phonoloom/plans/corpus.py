@@ -43,7 +43,8 @@ _EXT = lambda c: f"lower(regexp_extract({_P(c)}, '[.]([^./]*)$', 1))"  # noqa: E
 _SP = r"[\s\p{Z}\x1C-\x1F\x{85}]"
 _STRIP = lambda c: f"regexp_replace({c}, '^{_SP}+|{_SP}+$', '', 'g')"
 _NORM = lambda c: f"lower({_STRIP(f"regexp_replace({c}, '{_SP}+', ' ', 'g')")})"
-_ASCII = lambda c: f"regexp_replace({c}, '[^\\x00-\\x7F]', '?', 'g')"
+# DuckDB's distance counts bytes: both texts are written with a single-byte stand-in for each code point of the pair first.
+_CHARS = lambda c: f"list_transform(range(1, length({c}) + 1), lambda i: substring({c}, i, 1))"
 _LABELS = f"lab AS (SELECT DISTINCT label_id, path, text, {_DIR('path')} AS dir, {_BASE('path')} AS base, {_EXT('path')} AS ext FROM text_labels WHERE path IS NOT NULL)"
 _SCRIPTS = f"scr AS (SELECT DISTINCT transcript_id, path, language, segments, {_DIR('path')} AS dir, {_BASE('path')} AS base, {_EXT('path')} AS ext FROM transcripts WHERE path IS NOT NULL)"
 _CATALOG = f"{_LABELS}, {_SCRIPTS}, cat AS (SELECT path, dir, base, ext FROM lab UNION SELECT path, dir, base, ext FROM scr)"
@@ -52,14 +53,19 @@ _CATALOG = f"{_LABELS}, {_SCRIPTS}, cat AS (SELECT path, dir, base, ext FROM lab
 # Agreement ---------------------------------------------------------------------------------------------------------
 
 
-def _matched(spark: SparkSession, d: str, edits: int = MOST_EDITS) -> DataFrame:
+def _matched(spark: SparkSession, d: str, edits: int = 0) -> DataFrame:
     pairs = _labels(spark, d).select("dir", "base", "label_id", "text").join(_scripts(spark, d).select("dir", "base", "transcript_id", "language", "segments"), ["dir", "base"])
-    return agreement.matches(agreement.line_pairs(pairs, ["label_id", "transcript_id"], "text", "segments", "language"), edits, fold_ascii=True)
+    return agreement.matches(agreement.line_pairs(pairs, ["label_id", "transcript_id"], "text", "segments", "language"), edits)
 
 
-def transcript_agreement_by_lang(spark: SparkSession, d: str) -> DataFrame:
-    out = agreement.by_language(_matched(spark, d))
-    return out.select("lang", "lines", "exact", "normalized", F.round("exact_pct", 6).alias("exact_pct"), F.round("normalized_pct", 6).alias("normalized_pct"))
+def transcript_agreement_by_lang(spark: SparkSession, d: str, edits: int = 0) -> DataFrame:
+    out = agreement.by_language(_matched(spark, d, edits))
+    shares = ("exact_pct", "normalized_pct", "unmatched_share", "exact_share", "normalized_share")
+    return out.select("lang", "lines", "exact", "normalized", *(F.round(c, 6).alias(c) for c in shares))
+
+
+def fuzzy_agreement_by_lang(spark: SparkSession, d: str) -> DataFrame:
+    return transcript_agreement_by_lang(spark, d, MOST_EDITS)
 
 
 def transcript_agreement_totals(spark: SparkSession, d: str) -> DataFrame:
@@ -70,14 +76,28 @@ def drop_unmatched_groups(spark: SparkSession, d: str) -> DataFrame:
     return agreement.unmatched(_matched(spark, d), ["label_id", "transcript_id"])
 
 
-_MATCHED = f"""{_LABELS}, {_SCRIPTS},
+def fuzzy_unmatched_groups(spark: SparkSession, d: str) -> DataFrame:
+    return agreement.unmatched(_matched(spark, d, MOST_EDITS), ["label_id", "transcript_id"])
+
+
+_LINES = f"""{_LABELS}, {_SCRIPTS},
 pr AS (SELECT label_id, transcript_id, coalesce(language, 'UNKNOWN') AS lang, segments,
        string_split(regexp_replace(text, '\\r\\n?', chr(10), 'g'), chr(10)) AS raw FROM lab JOIN scr USING (dir, base)),
 pl AS (SELECT label_id, transcript_id, lang, segments, CASE WHEN raw[-1] = '' THEN raw[:-2] ELSE raw END AS ls FROM pr),
 px AS (SELECT label_id, transcript_id, lang, ls, segments, unnest(range(least(len(ls), len(segments)))) AS line_no FROM pl),
 py AS (SELECT label_id, transcript_id, lang, line_no, {_STRIP('ls[line_no + 1]')} AS a, {_STRIP("coalesce(segments[line_no + 1].text, '')")} AS b FROM px),
-pz AS (SELECT *, {_NORM('a')} AS na, {_NORM('b')} AS nb FROM py),
-mt AS (SELECT *, a = b AS is_exact, a = b OR na = nb OR (abs(length(na) - length(nb)) <= {MOST_EDITS} AND levenshtein({_ASCII('na')}, {_ASCII('nb')}) <= {MOST_EDITS}) AS is_norm FROM pz)"""
+pz AS (SELECT *, {_NORM('a')} AS na, {_NORM('b')} AS nb FROM py)"""
+_MATCHED = f"{_LINES}, mt AS (SELECT *, a = b AS is_exact, a = b OR na = nb AS is_norm FROM pz)"
+_FUZZY = f"""{_LINES},
+pc AS (SELECT *, abs(length(na) - length(nb)) <= {MOST_EDITS} AND na <> nb AS close FROM pz),
+pd AS (SELECT *, CASE WHEN close THEN list_distinct({_CHARS('na || nb')}) END AS cs FROM pc),
+pe AS (SELECT *, CASE WHEN len(cs) > 127 THEN error('too many characters') WHEN close THEN list_aggregate(cs, 'string_agg', '') END AS frm,
+       CASE WHEN close THEN list_aggregate(list_transform(range(1, len(cs) + 1), lambda i: chr(CAST(i AS INTEGER))), 'string_agg', '') END AS too FROM pd),
+mt AS (SELECT *, a = b AS is_exact, a = b OR na = nb OR (close AND levenshtein(translate(na, frm, too), translate(nb, frm, too)) <= {MOST_EDITS}) AS is_norm FROM pe)"""
+_BY_LANG = lambda m: f"""WITH {m}, g AS (SELECT lang, count(*) AS lines, CAST(count_if(is_exact) AS BIGINT) AS exact, CAST(count_if(is_norm) AS BIGINT) AS normalized FROM mt GROUP BY lang)
+SELECT lang, lines, exact, normalized, round(100.0::DOUBLE * exact / lines, 6) AS exact_pct, round(100.0::DOUBLE * normalized / lines, 6) AS normalized_pct,
+round(100.0::DOUBLE * (lines - exact) / nullif(sum(lines - exact) OVER (), 0), 6) AS unmatched_share, round(100.0::DOUBLE * exact / nullif(sum(exact) OVER (), 0), 6) AS exact_share,
+round(100.0::DOUBLE * normalized / nullif(sum(normalized) OVER (), 0), 6) AS normalized_share FROM g"""
 
 
 # Sentences and chunks ----------------------------------------------------------------------------------------------
@@ -297,7 +317,7 @@ _STAMP = "PARTITION BY user_id ORDER BY ts, event_id"
 QUERIES = {
     f.__name__: f
     for f in (
-        transcript_agreement_by_lang, transcript_agreement_totals, drop_unmatched_groups, sentence_segments, greedy_chunks, legacy_sentences, short_chunk_stats,
+        transcript_agreement_by_lang, fuzzy_agreement_by_lang, transcript_agreement_totals, drop_unmatched_groups, fuzzy_unmatched_groups, sentence_segments, greedy_chunks, legacy_sentences, short_chunk_stats,
         drop_bad_language, drop_numbers, exact_dedup, pending_work, priority_sibling, metadata_manifest, language_partition, sentence_rule_violations,
         stable_rename, rename_collisions, json_merge, group_presence, flat_moves, word_counts, word_totals, word_freq_of_freq, letter_frequency, token_totals,
         duration_totals, duration_stats, duration_histogram, duration_kde, noise_floor, noise_top5, noise_summary, band_energy, class_top5, speech_gate,
@@ -306,7 +326,9 @@ QUERIES = {
 }
 
 SQL = {
-    "transcript_agreement_by_lang": f"WITH {_MATCHED}, g AS (SELECT lang, count(*) AS lines, count_if(is_exact) AS exact, count_if(is_norm) AS normalized FROM mt GROUP BY lang) SELECT lang, lines, CAST(exact AS BIGINT) AS exact, CAST(normalized AS BIGINT) AS normalized, round(100.0::DOUBLE * exact / lines, 6) AS exact_pct, round(100.0::DOUBLE * normalized / lines, 6) AS normalized_pct FROM g",
+    "transcript_agreement_by_lang": _BY_LANG(_MATCHED),
+    "fuzzy_agreement_by_lang": _BY_LANG(_FUZZY),
+    "fuzzy_unmatched_groups": f"WITH {_FUZZY} SELECT label_id, transcript_id, count(*) AS lines FROM mt GROUP BY ALL HAVING count_if(is_norm) = 0",
     "transcript_agreement_totals": f"WITH {_MATCHED} SELECT count(DISTINCT (label_id, transcript_id)) AS groups, count(*) AS lines, CAST(count_if(is_exact) AS BIGINT) AS exact, CAST(count_if(is_norm) AS BIGINT) AS normalized FROM mt",
     "drop_unmatched_groups": f"WITH {_MATCHED} SELECT label_id, transcript_id, count(*) AS lines FROM mt GROUP BY ALL HAVING count_if(is_norm) = 0",
     "sentence_segments": f"WITH {_SENTENCES} SELECT * FROM st",
