@@ -43,14 +43,17 @@ NAMES = {
     "ja": "ja jpn japanese 日本語", "ar": "ar ara arabic العربية", "hi": "hi hin hindi हिन्दी हिंदी",
 }
 _CODES = {n: code for code, names in NAMES.items() for n in names.split()}
+# Codes that stand for no language, for several, or for a missing label.
+_NO_LANGUAGE = {"und", "mul", "mis", "zxx", "nan", "na", "xx", "xxx"}
 
 
 def label_language(label: str | None) -> str | None:
-    """Two letters of the language that a label names in any spelling or region, or None if it names none known."""
+    """Two letters of the language that a label names in any spelling or region; for languages that are not among ``NAMES`` the
+    code of two or three letters itself. None if it names none."""
     if not label:
         return None
     first = regex.split(r"[-_.\s]+", label.strip().casefold(), maxsplit=1)[0]
-    return _CODES.get(first)
+    return _CODES.get(first) or (first if regex.fullmatch("[a-z]{2,3}", first) and first not in _NO_LANGUAGE else None)
 
 
 def normal(text: str) -> str:

@@ -38,8 +38,7 @@ def token_sizes(documents: DataFrame, key: str, text: str, source: str, targets:
     wanted = targets.filter("target_share > 0").select(source_name(F.col("source")).alias("source")).distinct()
     rows = documents.filter(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), source_name(F.col(source)).alias("source"), F.col(text).alias("text"))
     rows = rows.join(wanted, "source", "left_semi")
-    ids = tokens.encoded(rows.select("doc_id", "text"), "doc_id", "text", path).select("doc_id", F.size("ids").cast("bigint").alias("tokens"))
-    return rows.select("doc_id", "source").join(ids, "doc_id")
+    return tokens.counted(rows, "text", path).select("doc_id", "source", "tokens")
 
 
 def plan(sizes: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:

@@ -19,6 +19,11 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select(F.lit("text").alias("place"), "key_a", "key_b").unionByName(words.select(F.lit("word").alias("place"), "key_a", "key_b"))
 
 
+def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every label whose text comes in other characters too, with its class and its number of links."""
+    return lookalike.same_look_classes(table(spark, sf_dir, "text_labels"), "label_id", "text").withColumnRenamed("k", "label_id")
+
+
 def p4_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every label with its text in the consistent form."""
     rows = table(spark, sf_dir, "text_labels").select("label_id", "text").distinct()
@@ -116,6 +121,6 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p2_found, p3_found, p3_pieces, p4_found, p4_texts, p4_words, p5_found, p5_shares, p6_found, p6_languages, p8_ids, p9_mix, p9_shares, p10_found, p10_subjects)
+    for f in (p2_found, p3_found, p3_pieces, p4_classes, p4_found, p4_texts, p4_words, p5_found, p5_shares, p6_found, p6_languages, p8_ids, p9_mix, p9_shares, p10_found, p10_subjects)
 }
 SQL: dict[str, str] = {}

@@ -8,7 +8,7 @@ length statistics are learned from clean samples: at most ``SAMPLE_ROWS`` texts,
 
 Defined results: every word, empty and null ones included, is in exactly one sentence; marks standing alone belong to
 the sentence they close; the last sentence ends with the row. A null or empty array has no sentences. Rows that come
-twice count once. A span holds at most ``SPAN_CANDIDATES`` candidates, the order of the semi-Markov model.
+twice count once. A span may hold any number of candidates; beginnings that cannot win any more are not tried.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from phonoloom.llm.forms import plain, tidy
 
-SAMPLE_ROWS, SPAN_CANDIDATES = 5_000, 128
+SAMPLE_ROWS = 5_000
 
 # Abbreviations by how they stand to the end of a sentence.
 TITLES = "mr mrs ms dr prof st sr sra srta sto sta hr fr frl mme mlle mgr ifj id özv szt д-р г гг св проф акад أ د م श्री डॉ प्रो पं सुश्री".split()
@@ -41,7 +41,6 @@ QUOTATIVE = ("と",)
 # Marks.
 ENDS, ELLIPSIS, DOT = "!?。！？।॥؟", "…", "."
 OPENERS, CLOSERS, EITHER = "„«「『‹〈《", "”»」』›〉》", "\"“"
-AROUND = "'’‘()[]{}¿¡*♪-–—"
 _TAIL = regex.compile(r"[.!?…。！？।॥؟\"”“»」』›〉》'’)\]}]+$")
 _HEAD = regex.compile(r"^[\"“„«「『‹〈《'‘(\[{¿¡]+")
 _EDGE = regex.compile(r"^[^\p{L}\p{N}\p{M}]+|[^\p{L}\p{N}\p{M}]+$")
@@ -80,10 +79,60 @@ class Model:
         return 0.0 if not n else max(-2.0, min(2.0, math.log((self.closing.get(key, 0) + 0.3) / (n - self.closing.get(key, 0) + 0.3))))
 
 
+class _Memory(dict):
+    """Values of a function of a word, remembered for words of usual length: most words of a corpus come again and again."""
+
+    def __init__(self, f) -> None:
+        super().__init__()
+        self.f = f
+
+    def __missing__(self, word: str):
+        value = self.f(word)
+        if len(word) <= 40:
+            if len(self) >= 100_000:
+                self.clear()
+            self[word] = value
+        return value
+
+
+def remembered(f):
+    return _Memory(f).__getitem__
+
+
+@remembered
+def clean(word: str) -> str:
+    return tidy(word).strip()
+
+
+@remembered
 def core(word: str) -> str:
     return _EDGE.sub("", word)
 
 
+@remembered
+def folded(word: str) -> str:
+    """The core of a word without case and odd characters."""
+    return plain(core(word))
+
+
+@remembered
+def unspaced(word: str) -> bool:
+    """Whether a word begins in a script without spaces."""
+    return bool(_NO_SPACES.match(word))
+
+
+@remembered
+def _real(word: str) -> bool:
+    return word[:1].isalnum() or bool(core(word))
+
+
+@remembered
+def _edges(word: str) -> tuple[str, str]:
+    """Opening and closing marks of a word."""
+    head, tail = _HEAD.match(word), _TAIL.search(word)
+    return head[0] if head else "", tail[0] if tail else ""
+
+
 def split_words(text: str) -> list[str]:
     """Words of a text: by white space, and one for each character in scripts without spaces."""
     out: list[str] = []
@@ -101,11 +150,11 @@ def _next_key(words: Sequence[str], i: int) -> tuple[str, str]:
         i += 1
     if i >= len(words):
         return "", ""
-    w = _HEAD.sub("", words[i])
-    if _NO_SPACES.match(w):
+    w = words[i][len(_edges(words[i])[0]) :]
+    if unspaced(w):
         more = "".join(words[i : i + 4])
         return _EDGE.sub("", more)[:2], w
-    return plain(core(w)), w
+    return folded(w), w
 
 
 def _last_key(words: Sequence[str], i: int) -> str:
@@ -114,9 +163,9 @@ def _last_key(words: Sequence[str], i: int) -> str:
         i -= 1
     if i < 0:
         return ""
-    if _NO_SPACES.match(core(words[i])):
+    if unspaced(core(words[i])):
         return _EDGE.sub("", "".join(words[max(0, i - 3) : i + 1]))[-2:]
-    return plain(core(words[i]))
+    return folded(words[i])
 
 
 def _kind(word: str, mark: str) -> str:
@@ -125,7 +174,7 @@ def _kind(word: str, mark: str) -> str:
         return "hard"
     if ELLIPSIS in mark or ".." in mark:
         return "dots"
-    c = plain(core(word))
+    c = folded(word)
     if c in _CLOSING:
         return "closing"
     if c in _TITLES:
@@ -178,14 +227,14 @@ def scan(words: Sequence[str]) -> tuple[list[tuple[int, str, bool]], list[int]]:
             elif closes and found and found[-1][0] == i - 1:
                 found[-1] = (i, found[-1][1], True)
             continue
-        head, tail = _HEAD.match(w), _TAIL.search(w)
-        now += sum(x in OPENERS or x in EITHER for x in (head[0] if head else ""))
+        head, tail = _edges(w)
+        now += sum(x in OPENERS or x in EITHER for x in head)
         closes = False
         if tail:
-            shut = sum(x in CLOSERS or x in EITHER for x in tail[0])
+            shut = sum(x in CLOSERS or x in EITHER for x in tail)
             now, closes = now - shut, shut > 0
-            if any(x in ENDS or x in ELLIPSIS or x == DOT for x in tail[0]):
-                found.append((i, _kind(w, tail[0]), closes))
+            if any(x in ENDS or x in ELLIPSIS or x == DOT for x in tail):
+                found.append((i, _kind(w, tail), closes))
         depth.append(now)
     return [x for x in found if x[0] < n - 1], depth
 
@@ -216,12 +265,54 @@ def boundary_score(model: Model, words: Sequence[str], at: int, kind: str, close
     return score
 
 
+class Spans:
+    """Scores of the spans of a list of words between its candidates (and its end)."""
+
+    def __init__(self, model: Model, words: Sequence[str], cand: Sequence[tuple[int, str, bool]], depth: Sequence[int]) -> None:
+        n = len(words)
+        self.words, self.cand, self.depth = words, cand, depth
+        self.ends = [c[0] for c in cand] + [n - 1]
+        self.gain = [boundary_score(model, words, *c) for c in cand] + [0.0]
+        self.count = [0]
+        for w in words:
+            self.count.append(self.count[-1] + _real(w))
+        chars = sum(1 for w in words if len(w) <= 2 and not w.isascii() and unspaced(w)) * 2 > n
+        self.mean, self.sd = model.length["chars" if chars else "words"]
+        self.reports = [_reports(words, i) for i in range(n)] if any(c[2] for c in cand) else None
+
+    def score(self, i: int, j: int) -> float:
+        """Of the span from behind end i - 1 to end j, its end included; never above ``gain[j]``."""
+        a, b = (0 if i == 0 else self.ends[i - 1] + 1), self.ends[j]
+        size = self.count[b + 1] - self.count[a]
+        z = (math.log(size) - self.mean) / self.sd if size else -4.0
+        score = self.gain[j] - min(2.0, 0.15 * z * z)
+        if self.depth[b] != (self.depth[a - 1] if a else 0):
+            score -= _UNBALANCED
+        if j < len(self.cand) and self.cand[j][2] and not _opens_quoted(self.words, a, b):
+            score -= _LATE_QUOTE  # a quotation begun inside a sentence is rarely its end
+        if self.reports and i > 0 and any(self.reports[a : b + 1]) and not _quoted(self.words, a, b, self.depth):
+            score -= _NO_QUOTE
+        return score
+
+
+def value_of(model: Model, words: Sequence[str], chosen: Sequence[tuple[int, str, bool]]) -> float:
+    """Score of the segmentation that ends sentences at the chosen candidates."""
+    cand, depth = scan(words)
+    spans = Spans(model, words, [c for c in cand if c[0] < len(words) - 1], depth)
+    at = {b: k for k, b in enumerate(spans.ends)}
+    total, i = 0.0, 0
+    for j in [at[c[0]] for c in chosen] + [len(spans.ends) - 1]:
+        total += spans.score(i, j)
+        i = j + 1
+    return total
+
+
 def segment(model: Model, raw: Sequence[str | None]) -> list[tuple[int, int]]:
     """First and last index of each sentence of a list of words."""
     n = len(raw)
     if not n:
         return []
-    words = [tidy(w).strip() if w else "" for w in raw]
+    words = [clean(w) if w else "" for w in raw]
     cand, depth = scan(words)
     last_real = n - 1
     while last_real > 0 and not words[last_real]:
@@ -229,36 +320,22 @@ def segment(model: Model, raw: Sequence[str | None]) -> list[tuple[int, int]]:
     cand = [c for c in cand if c[0] < last_real]
     if not cand:
         return [(0, n - 1)]
-    ends = [c[0] for c in cand] + [n - 1]
-    gain = [boundary_score(model, words, *c) for c in cand] + [0.0]
-    reports = [_reports(words, i) for i in range(n)] if any(c[2] for c in cand) else None
-    m = len(ends)
-    count = [0]
-    for w in words:
-        count.append(count[-1] + (1 if w and (w[0].isalnum() or core(w)) else 0))
-    chars = sum(1 for w in words if len(w) <= 2 and _NO_SPACES.match(w)) * 2 > n
-    mean, sd = model.length["chars" if chars else "words"]
+    spans = Spans(model, words, cand, depth)
+    m = len(spans.ends)
     best = [0.0] + [-1e18] * m  # best[j]: of the words up to end j - 1
+    top = [0.0] * (m + 1)  # the greatest of best[0] to best[j]
     back = [0] * (m + 1)
     for j in range(1, m + 1):
-        b = ends[j - 1]
-        for i in range(j - 1, max(-1, j - 1 - SPAN_CANDIDATES), -1):
-            a = 0 if i == 0 else ends[i - 1] + 1
-            size = count[b + 1] - count[a]
-            z = (math.log(size) - mean) / sd if size else -4.0
-            score = best[i] + gain[j - 1] - min(2.0, 0.15 * z * z)
-            if depth[b] != (depth[a - 1] if a else 0):
-                score -= _UNBALANCED
-            if j < m and cand[j - 1][2] and not _opens_quoted(words, a, b):
-                score -= _LATE_QUOTE  # a quotation begun inside a sentence is rarely its end
-            if reports and i > 0 and any(reports[a : b + 1]) and not _quoted(words, a, b, depth):
-                score -= _NO_QUOTE
-            if score > best[j]:
+        for i in range(j - 1, -1, -1):
+            if top[i] + spans.gain[j - 1] <= best[j]:
+                break  # no earlier beginning can reach what is found: no span scores above its gain
+            if best[i] + spans.gain[j - 1] > best[j] and (score := best[i] + spans.score(i, j - 1)) > best[j]:
                 best[j], back[j] = score, i
+        top[j] = max(top[j - 1], best[j])
     out, j = [], m
     while j > 0:
         i = back[j]
-        out.append((0 if i == 0 else ends[i - 1] + 1, ends[j - 1]))
+        out.append((0 if i == 0 else spans.ends[i - 1] + 1, spans.ends[j - 1]))
         j = i
     return out[::-1]
 
@@ -267,16 +344,16 @@ def _opens_quoted(words: Sequence[str], a: int, b: int) -> bool:
     """Whether the first word of a span begins a quotation."""
     while a < b and not words[a]:
         a += 1
-    return any(x in OPENERS or x in EITHER for x in (_HEAD.match(words[a]) or [""])[0])
+    return any(x in OPENERS or x in EITHER for x in _edges(words[a])[0])
 
 
 def _reports(words: Sequence[str], i: int) -> bool:
     w = words[i]
     if not w:
         return False
-    if _NO_SPACES.match(w):
+    if not w.isascii() and unspaced(w):
         return any("".join(words[i : i + len(v)]) == v for v in _REPORT_CJK)
-    return plain(core(w)) in _REPORTING
+    return folded(w) in _REPORTING
 
 
 def _quoted(words: Sequence[str], a: int, b: int, depth: Sequence[int]) -> bool:
@@ -302,7 +379,7 @@ def train(texts: Iterable[str]) -> Model:
             real = [k for k in range(a, b + 1) if core(words[k])]
             if not real:
                 continue
-            cjk = bool(_NO_SPACES.match(core(words[real[0]])))
+            cjk = unspaced(core(words[real[0]]))
             model.opening[_next_key(words, real[0])[0]] += 1
             model.closing[_last_key(words, real[-1])] += 1
             for k in real:

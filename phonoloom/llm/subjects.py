@@ -64,6 +64,9 @@ def letters(text: str) -> str:
     return " ".join(_RUN.findall(bare(text)))
 
 
+_word_letters = sent.remembered(letters)
+
+
 def tokens(form: str) -> list[str]:
     """Words of a form of letters; in scripts without spaces runs of katakana and pairs of other characters."""
     out: list[str] = []
@@ -87,10 +90,12 @@ def features(token: str) -> list[str]:
 def document_sentences(text: str, model: sent.Model) -> list[str]:
     """Forms of the distinct sentences of a text; a line ends one."""
     out: dict[str, None] = {}
-    for line in text.splitlines():
+    for line in dict.fromkeys(text.splitlines()):  # a line that comes again has no new sentence
         words = sent.split_words(line)
+        dense = not line.isascii() and _UNSPACED.search(line)
         for a, b in sent.segment(model, words):
-            form = letters(_GAP.sub("", " ".join(words[a : b + 1])))
+            some = words[a : b + 1]
+            form = letters(_GAP.sub("", " ".join(some))) if dense else " ".join(filter(None, map(_word_letters, some)))
             if form:
                 out[form] = None
     return list(out)

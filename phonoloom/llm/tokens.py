@@ -137,7 +137,8 @@ class Encoder:
         for w, ids in zip(words, self._run(start)):
             self.known[w] = ids
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def words(self, texts: list[str | None]) -> list[list[str]]:
+        """Words of each text; all of them are known afterwards."""
         cut = [self.pattern.findall(t) if t else [] for t in texts]
         new = {w for ws in cut for w in ws if w not in self.known}
         if len(self.known) + len(new) > REMEMBER:
@@ -145,24 +146,39 @@ class Encoder:
             new = {w for ws in cut for w in ws}
         if new:
             self.learn(list(new))
-        known = self.known
-        return [[i for w in ws for i in known[w]] for ws in cut]
+        return cut
 
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        return [[i for w in ws for i in self.known[w]] for ws in self.words(texts)]
 
-def encoded(df: DataFrame, key: str, text: str, path: str | None = None) -> DataFrame:
-    """``key, ids`` of each row."""
+    def count(self, texts: list[str | None]) -> list[int]:
+        """Numbers of ids, without making them."""
+        return [sum(len(self.known[w]) for w in ws) for ws in self.words(texts)]
+
+
+def _encoded(df: DataFrame, text: str, made: str, shape: pa.DataType, method: str, path: str | None) -> DataFrame:
+    """``df`` with the column ``made`` of ``Encoder.method`` in place of ``text``; all other columns pass through."""
     given = df.sparkSession.sparkContext.broadcast(load(path))
-    shape = f"`{key}` bigint, ids array<int>"
+    others = [c for c in df.columns if c != text]
+    ddl = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in others), f"{made} {'array<int>' if method == 'encode' else 'bigint'}"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(*given.value)
         for batch in batches:
             for k in range(0, batch.num_rows, TEXTS):
                 some = batch.slice(k, TEXTS)
-                ids = encoder.encode(some.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[key, "ids"])
+                got = pa.array(getattr(encoder, method)(some.column(len(others)).to_pylist()), shape)
+                yield pa.RecordBatch.from_arrays([*some.columns[: len(others)], got], names=[*others, made])
+
+    return df.select(*others, text).mapInArrow(run, ddl)
+
 
+def encoded(df: DataFrame, key: str, text: str, path: str | None = None) -> DataFrame:
+    """``key, ids`` of each row."""
     rows = df.filter(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias(key), F.col(text).alias("t"))
-    return rows.mapInArrow(run, shape)
+    return _encoded(rows, "t", "ids", pa.list_(pa.int32()), "encode", path)
 
 
+def counted(df: DataFrame, text: str, path: str | None = None) -> DataFrame:
+    """``df`` with ``tokens``, the number of ids, in place of ``text``."""
+    return _encoded(df, text, "tokens", pa.int64(), "count", path)

@@ -37,6 +37,34 @@ def test_sentences_partition_the_row(words):
     assert [i for a, b in got for i in range(a, b + 1)] == list(range(len(words)))
 
 
+def brute_segments(words):
+    """The best segmentation by trying all of them."""
+    import itertools
+
+    cand = [c for c in sentences.scan(words)[0] if c[0] < len(words) - 1]
+    best = None
+    for some in itertools.product([False, True], repeat=len(cand)):
+        ends = [c for c, s in zip(cand, some) if s]
+        value = sentences.value_of(MODEL, words, ends)
+        if best is None or value > best[0] + 1e-9:
+            best = value, [c[0] for c in ends]
+    return best
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["a", "the", "b.", "Dr.", "The", "x?", '"', "p.m.", "12.", "cf.", "said…"]), min_size=1, max_size=14))
+def test_segmentation_is_the_best_of_all(words):
+    value, _ = brute_segments(words)
+    ends = {b for _, b in sentences.segment(MODEL, words)[:-1]}
+    cand = [c for c in sentences.scan(words)[0] if c[0] in ends]
+    assert sentences.value_of(MODEL, words, cand) == pytest.approx(value)
+
+
+def test_sentences_of_many_candidates():
+    words = ["he"] + ["Dr."] * 400 + ["x", "left."] + ["The", "end."]
+    assert sentences.segment(MODEL, words) == [(0, 402), (403, 404)]
+
+
 def test_sentence_units(spark):
     df = spark.createDataFrame([(1, ["dark.", "Back"]), (1, ["dark.", "Back"]), (2, None), (3, []), (None, ["x"])], "id long, w array<string>")
     got = sentences.sentence_units(df, "id", F.col("w"), MODEL)
@@ -48,9 +76,13 @@ def line(*spans, after=()):
 
 
 def test_cut_kind():
-    assert pieces.cut_kind(line((0, 100), (100, 30_000))) is None
-    assert pieces.cut_kind(line((0, 100), (100, 30_001))) == "forced"
-    assert pieces.cut_kind(line((0, 20_000), (20_000, 40_000), after={0})) == "natural"
+    assert pieces.pack(line((0, 100), (100, 30_001)))[1] == "forced"
+    assert pieces.pack(line((0, 31_000), (31_000, 31_100), after={0}))[1] == "forced"
+    assert pieces.pack(line((0, 20_000), (20_000, 40_000), after={0}))[1] == "natural"
+    # A coarse separator is used before a fine one.
+    x = line((0, 10_000), (10_000, 20_000), (20_000, 29_000), (29_000, 39_000), after={0, 1, 2})
+    x.after[1] = pieces.PARAGRAPH
+    assert pieces.split(x, 0, 3, pieces.SECTION, 30_000) == [(0, 1, pieces.PARAGRAPH), (2, 3, pieces.PARAGRAPH)]
 
 
 @settings(max_examples=150, deadline=None)
@@ -59,7 +91,13 @@ def test_pieces_cover_and_fit(rows, ordered):
     spans = [(s, s + n) for s, n, _ in rows]
     spans = sorted(spans) if ordered else spans
     x = line(*spans, after={i for i, r in enumerate(rows) if r[2]})
-    got = pieces.pack(x, 30_000)
+    got, kind = pieces.pack(x, 30_000)
+    runs, a = [], 0
+    for i in range(len(rows)):
+        if x.after[i] or i == len(rows) - 1:
+            runs.append(x.reach(a, i))
+            a = i + 1
+    assert (kind == "forced") == (max(runs) > 30_000)
     fresh = [i for a, b, k in got for i in range(a + k, b + 1)]
     assert fresh == list(range(len(rows)))
     for n, (a, b, k) in enumerate(got):
@@ -90,7 +128,34 @@ def test_lookalikes(spark):
     assert canon == {1: "héllo", 2: "héllo", 3: "hello", 4: "hello", 5: "Hello", 6: None, 7: "", 8: "", 9: "hello"}
     words = spark.createDataFrame([(1, ["„mіkrofon”,", "mikrofon", "Mіkrofon", None, "", "mikrofonok", "mikro­fon!"])], "id long, w array<string>")
     terms = spark.createDataFrame([("mikrofon",), (None,)], "term string")
-    assert sorted(map(tuple, lookalike.term_lookalikes(words, "id", F.col("w"), terms, "term").collect())) == [(1, 0), (1, 6)]
+    assert sorted(map(tuple, lookalike.term_lookalikes(words, "id", F.col("w"), terms, "term").collect())) == [(1, 0, "mikrofon"), (1, 6, "mikrofon")]
+
+
+def test_equal_forms_share_their_bones(spark):
+    """Over all code points: what the collation holds equal has one key, but for digits of different scripts and the stroke that
+    lengthens Arabic words, which do not look the same; and every character has the key of its parts."""
+    every = [chr(c) for c in (*range(1, 0xD800), *range(0xE000, 0x110000)) if unicodedata.category(chr(c)) != "Cn"]
+    alone = [(c, c) for c in every if unicodedata.category(c) != "Nd" and c != "\u0640"]
+    parts = [(f"{x}a", f"a{c}a") for c in every for x in (f"a{c}", "a" + unicodedata.normalize("NFD", c)) if unicodedata.normalize("NFD", c) != c]
+    for rows, key in ((alone, F.collate(forms.looks_like(F.col("c")), lookalike.COLLATION)), (parts, F.col("of"))):
+        made = spark.createDataFrame(rows, "c string, of string").select(key.alias("k"), lookalike.bones(forms.looks_like(F.col("c"))).alias("bones"), "c")
+        bad = made.groupBy("k").agg(F.countDistinct("bones").alias("n"), F.min("c").alias("one"), F.max("c").alias("other")).filter("n > 1")
+        assert [(r.one, r.other) for r in bad.limit(20).collect()] == []
+
+
+def test_kelvin_and_other_characters_of_two_code_points(spark):
+    words = spark.createDataFrame([(1, ["\u212aelvin", "Kelvin", "k\u0585rt", "\u2126hm", "Kel\u0301vin"])], "id long, w array<string>")
+    terms = spark.createDataFrame([("Kelvin",), ("kort",), ("\u03a9hm",)], "term string")
+    got = lookalike.term_lookalikes(words, "id", F.col("w"), terms, "term").collect()
+    assert sorted(map(tuple, got)) == [(1, 0, "Kelvin"), (1, 2, "kort"), (1, 3, "\u03a9hm")]
+
+
+def test_text_classes(spark):
+    df = spark.createDataFrame([(1, "look"), (2, "l\u043eok"), (2, "l\u043eok"), (3, "look"), (4, "l\u200book"), (5, "other"), (6, None)], "id long, text string")
+    assert sorted(map(tuple, lookalike.same_look_classes(df, "id", "text").collect())) == [(1, 1, 2), (2, 1, 3), (3, 1, 2), (4, 1, 3)]
+    assert sorted(map(tuple, lookalike.same_look_pairs(df, "id", "text").collect())) == [(1, 2), (1, 4), (2, 3), (2, 4), (3, 4)]
+    empty = df.filter("id < 0")
+    assert lookalike.same_look_pairs(empty, "id", "text").collect() == lookalike.canonical_forms(empty, "text").collect() == []
 
 
 def brute_share(words, run):
@@ -288,4 +353,4 @@ def test_invisible_characters_at_the_edge_of_a_word_count(spark):
     edges = [chr(c) for c in forms.INVISIBLE]
     words = spark.createDataFrame([(1, [f"({c}mikrofon)" for c in edges] + [f"mikrofon{c}." for c in edges] + ["(mikrofon)."])], "id long, w array<string>")
     terms = spark.createDataFrame([("mikrofon",)], "term string")
-    assert sorted(map(tuple, lookalike.term_lookalikes(words, "id", F.col("w"), terms, "term").collect())) == [(1, i) for i in range(2 * len(edges))]
+    assert sorted(map(tuple, lookalike.term_lookalikes(words, "id", F.col("w"), terms, "term").collect())) == [(1, i, "mikrofon") for i in range(2 * len(edges))]
