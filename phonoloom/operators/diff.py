@@ -205,7 +205,7 @@ def table_differences(
             lambda i: hit(f, i, at(a, i), at(b, i)),
         )
         tests.append(F.when(here & a.isNotNull() & b.isNotNull(), rows))
-        tests.append(F.when(here & (a.isNull() != b.isNull()), F.array(hit(f, whole, F.to_json(a), F.to_json(b)))))
+        tests.append(F.when(here & (a.isNull() != b.isNull()), F.array(hit(f, whole, *(F.to_json(x, {"ignoreNullFields": "false"}) for x in (a, b))))))
     shape = "array<struct<kind:string,position:int,left_value:string,right_value:string>>"
     found = F.flatten(F.array(*(F.coalesce(t.cast(shape), F.array().cast(shape)) for t in tests)))
     return pair.select(F.col("k").alias(key), F.inline(found))

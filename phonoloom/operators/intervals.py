@@ -4,12 +4,14 @@ The operator keeps, in keyed state, an ordered map of disjoint intervals for eac
 what it overlaps by binary search, merges it and updates the neighbouring gaps. Merging is associative, so
 the same map works three times:
 
-1. in each input partition, over the raw intervals (nothing is shuffled yet; a full state is emitted and
-   restarted, which loses nothing);
-2. for each (entity, time bucket) after one shuffle of what is left: an entity that holds a third of all
-   rows is spread over as many tasks as it has buckets;
+1. in each input partition, for each (entity, time bucket), over the raw intervals (nothing is shuffled yet; a full
+   state is emitted and restarted, which loses nothing);
+2. for each (entity, time bucket) after one shuffle of these maps: an entity that holds a third of all
+   rows is spread over as many tasks as it has buckets, and a bucket gets one row from each partition;
 3. across buckets, where only the latest end of each bucket is carried forward, by a two-level running maximum.
 
+Intervals travel as arrays, one row for each map, and are inserted as sorted runs.
+
 Defined results: an interval with a missing, NaN, infinite or negative start, or an end not after its start,
 counts as absent; so does a row whose entity is null. Rows that come twice change nothing. An interval of no
 length after rounding is a point that splits a gap. Touching intervals are one period. Empty tables give
@@ -21,7 +23,9 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,10 +64,36 @@ class IntervalMap:
             new.append(starts[first + 1] - end)
         self.gaps[max(first - 1, 0) : after] = new
 
+    def insert_run(self, starts: list[int], ends: list[int]) -> None:
+        """Inserts disjoint intervals in order: what they reach over is found by binary search and replaced at once."""
+        if not starts:
+            return
+        first = bisect_left(self.ends, starts[0])
+        after = bisect_right(self.starts, ends[-1], first)
+        if first < after:
+            starts, ends = disjoint(sorted([*zip(starts, ends), *zip(self.starts[first:after], self.ends[first:after])]))
+        self.starts[first:after] = starts
+        self.ends[first:after] = ends
+        a, b = max(first - 1, 0), min(first + len(starts), len(self.starts) - 1)
+        self.gaps[a:after] = [self.starts[k + 1] - self.ends[k] for k in range(a, b)]
+
     def periods(self) -> Iterator[tuple[int, int]]:
         return zip(self.starts, self.ends)
 
 
+def disjoint(rows: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the union of intervals that are sorted by their starts."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for s, e in rows:
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return starts, ends
+
+
 def seconds_to_ms(seconds: Column) -> Column:
     """Seconds x 1000, rounded to the nearest integer; null where that is no BIGINT."""
     return F.round(seconds * F.lit(1000.0)).try_cast("bigint")
@@ -85,55 +115,110 @@ def word_intervals(df: DataFrame, key: str, words: str = "word_segments") -> Dat
     return df.filter(F.col(key).isNotNull()).select(F.col(key).alias("entity"), F.inline(spans))
 
 
-def _partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    state: dict[int, IntervalMap] = {}
+def word_spans(df: DataFrame, key: str, words: str = "word_segments") -> DataFrame:
+    """The times of ``words`` as arrays ``entity, start_s, end_s``, one row for each row; only those nested columns are read."""
+    return df.filter(F.col(key).isNotNull()).select(F.col(key).alias("entity"), F.col(words)["start"].alias("start_s"), F.col(words)["end"].alias("end_s"))
+
+
+def _timed_ms(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Milliseconds of the timed ones of pairs of seconds (``is_timed``, ``seconds_to_ms``), and which they are."""
+    with np.errstate(invalid="ignore", over="ignore"):
+        ok = (starts >= 0) & (starts < ends) & (ends * 1000.0 < 2.0**63)
+    at = np.flatnonzero(ok)
+    ms = []
+    for x in (starts[at] * 1000.0, ends[at] * 1000.0):
+        whole = np.floor(x)
+        ms.append((whole + (x - whole >= 0.5)).astype(np.int64))
+    return ms[0], ms[1], at
+
+
+def _intervals(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entities, starts and ends in milliseconds of a batch of ``entity, start_ms, end_ms`` or ``entity, start_s, end_s``."""
+    entity = batch.column(0).to_numpy(zero_copy_only=False)
+    if batch.schema.names[1] == "start_ms":
+        return entity, batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)
+    row = pc.list_parent_indices(batch.column(1)).to_numpy(zero_copy_only=False)
+    starts, ends, at = _timed_ms(*(batch.column(k).flatten().to_numpy(zero_copy_only=False) for k in (1, 2)))
+    return entity[row[at]], starts, ends
+
 
-    def emit() -> pd.DataFrame:
-        rows = [(k, s, e) for k, m in state.items() for s, e in m.periods()]
+_MAPS = [("entity", pa.int64()), ("bucket", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))]
+
+
+def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    state: dict[tuple[int, int], IntervalMap] = {}
+
+    def emit() -> pa.RecordBatch:
+        rows = [(*key, m.starts, m.ends) for key, m in state.items()]
         state.clear()
-        return pd.DataFrame(rows, columns=["entity", "start_ms", "end_ms"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), _MAPS)], names=[n for n, _ in _MAPS])
 
     for batch in batches:
-        for k, s, e in zip(batch["entity"].tolist(), batch["start_ms"].tolist(), batch["end_ms"].tolist()):
-            m = state.get(k)
+        entity, starts, ends = _intervals(batch)
+        bucket = starts // BUCKET_MS
+        order = np.lexsort((starts, bucket, entity))
+        entity, bucket, starts, ends = entity[order], bucket[order], starts[order], ends[order]
+        cuts = np.flatnonzero((np.diff(entity) != 0) | (np.diff(bucket) != 0)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(entity)]):
+            if a == b:
+                continue
+            reach = np.maximum.accumulate(ends[a:b])
+            begins = np.flatnonzero(starts[a + 1 : b] > reach[:-1]) + 1
+            key = int(entity[a]), int(bucket[a])
+            m = state.get(key)
             if m is None:
-                m = state[k] = IntervalMap()
-            m.insert(s, e)
+                m = state[key] = IntervalMap()
+            m.insert_run(starts[a:b][np.r_[0, begins]].tolist(), reach[np.r_[begins - 1, b - a - 1]].tolist())
         if sum(map(len, state.values())) > STATE_LIMIT:
             yield emit()
     if state:
         yield emit()
 
 
-def _final(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by (entity, bucket): the state of one bucket at a time is alive."""
-    columns, key, m, out = ["entity", "bucket", "starts", "ends", "last_ms"], None, IntervalMap(), []
+def _final(least_ms: int | None):
+    """Rows come sorted by (entity, bucket): the state of one bucket at a time is alive. Its gaps of at least ``least_ms`` come
+    out, or, without that, its intervals."""
+    names = ["entity", "bucket", "first_ms", "last_ms", *(("gap_starts", "gap_lengths") if least_ms is not None else ("starts", "ends"))]
+    lists = pa.list_(pa.int64())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, m, out = None, IntervalMap(), []
+
+        def close() -> None:
+            if key is not None:
+                two = (m.starts, m.ends)
+                if least_ms is not None:
+                    wide = [k for k, g in enumerate(m.gaps) if g >= least_ms]
+                    two = [m.ends[k] for k in wide], [m.gaps[k] for k in wide]
+                out.append((*key, m.starts[0], m.ends[-1], *two))
+
+        def made() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 4 + [lists] * 2)], names=names)
+
+        for batch in batches:
+            for k, b, starts, ends in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if (k, b) != key:
+                    close()
+                    key, m = (k, b), IntervalMap()
+                m.insert_run(starts, ends)
+            if out:
+                yield made()
+                out.clear()
+        close()
+        if out:
+            yield made()
 
-    def close() -> None:
-        if key is not None:
-            out.append((*key, m.starts, m.ends, m.ends[-1]))
+    return run, ", ".join(f"{n} {'array<bigint>' if i > 3 else 'bigint'}" for i, n in enumerate(names))
 
-    for batch in batches:
-        for k, b, s, e in zip(*(batch[c].tolist() for c in ("entity", "bucket", "start_ms", "end_ms"))):
-            if (k, b) != key:
-                close()
-                key, m = (k, b), IntervalMap()
-            m.insert(s, e)
-        if out:
-            yield pd.DataFrame(out, columns=columns)
-            out = []
-    close()
-    if out:
-        yield pd.DataFrame(out, columns=columns)
-
-
-def _bucketed(intervals: DataFrame) -> DataFrame:
-    """One row per (entity, bucket): its disjoint intervals, and the latest end in the buckets before."""
-    merged = intervals.mapInPandas(_partial, "entity bigint, start_ms bigint, end_ms bigint")
-    merged = merged.withColumn("bucket", F.floor(F.col("start_ms") / F.lit(BUCKET_MS)).cast("bigint"))
-    merged = merged.repartition("entity", "bucket").sortWithinPartitions("entity", "bucket", "start_ms")
+
+def _bucketed(intervals: DataFrame, least_ms: int | None = None) -> DataFrame:
+    """One row per (entity, bucket): its gaps or its disjoint intervals, and the latest end in the buckets before."""
+    columns = ("entity", "start_s", "end_s") if "start_s" in intervals.columns else ("entity", "start_ms", "end_ms")
+    rows = intervals.filter(" AND ".join(f"{c} IS NOT NULL" for c in columns)).select(F.col("entity").cast("bigint").alias("entity"), *columns[1:])
+    merged = rows.mapInArrow(_partial, "entity bigint, bucket bigint, starts array<bigint>, ends array<bigint>")
+    merged = merged.repartition("entity", "bucket").sortWithinPartitions("entity", "bucket")
     # Read three times below: written once, so the state is only built once.
-    maps = stored(merged.mapInPandas(_final, "entity bigint, bucket bigint, starts array<bigint>, ends array<bigint>, last_ms bigint"))
+    maps = stored(merged.mapInArrow(*_final(least_ms)))
     tips = maps.select("entity", "bucket", "last_ms", F.floor(F.col("bucket") / F.lit(BLOCK)).cast("bigint").alias("block"))
     before = Window.partitionBy("entity").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy("entity", "block").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -146,16 +231,16 @@ def _bucketed(intervals: DataFrame) -> DataFrame:
 
 def gaps(intervals: DataFrame, least_ms: int = 0) -> DataFrame:
     """``entity, gap_start_ms, gap_end_ms`` of each uncovered stretch of at least ``least_ms`` (and more than 0)
-    between an entity's first start and last end; ``intervals`` is ``entity, start_ms, end_ms``."""
-    reach = F.transform(
-        F.sequence(F.lit(0), F.size("starts") - 1),
-        lambda i: F.struct(
-            F.greatest(F.when(i > 0, F.get(F.col("ends"), i - 1)), F.col("carry")).alias("gap_start_ms"),
-            F.get(F.col("starts"), i).alias("gap_end_ms"),
-        ),
-    )
-    found = _bucketed(intervals).select("entity", F.inline(reach))
-    return found.filter(F.col("gap_end_ms") - F.col("gap_start_ms") >= F.lit(max(int(least_ms), 1)))
+    between an entity's first start and last end; ``intervals`` is ``entity, start_ms, end_ms`` or the arrays of ``word_spans``.
+
+    The gaps inside a bucket are those that its map kept; what reaches in from earlier buckets shortens them.
+    """
+    least = max(int(least_ms), 1)
+    gap = lambda a, b: F.struct(a.alias("gap_start_ms"), b.alias("gap_end_ms"))
+    before = gap(F.col("carry"), F.col("first_ms"))
+    kept = F.transform(F.arrays_zip("gap_starts", "gap_lengths"), lambda g: gap(F.greatest(g["gap_starts"], F.col("carry")), g["gap_starts"] + g["gap_lengths"]))
+    found = _bucketed(intervals, least).select("entity", F.inline(F.concat(F.array(before), kept)))
+    return found.filter(F.col("gap_end_ms") - F.col("gap_start_ms") >= F.lit(least))
 
 
 def periods(intervals: DataFrame) -> DataFrame:

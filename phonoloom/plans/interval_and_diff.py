@@ -13,12 +13,12 @@ LEAST_GAP_MS = 250
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = intervals.word_intervals(table(spark, sf_dir, "aligned_transcripts"), "rec_id")
+    words = intervals.word_spans(table(spark, sf_dir, "aligned_transcripts"), "rec_id")
     return intervals.gaps(words, LEAST_GAP_MS).withColumnRenamed("entity", "rec_id")
 
 
 def p1_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = intervals.word_intervals(table(spark, sf_dir, "aligned_transcripts"), "rec_id")
+    words = intervals.word_spans(table(spark, sf_dir, "aligned_transcripts"), "rec_id")
     return intervals.periods(words).select(F.col("entity").alias("rec_id"), "period_start_ms", "period_end_ms")
 
 
@@ -54,7 +54,7 @@ d AS (
   UNION ALL SELECT bid, 'missing_in_transcripts', -1, NULL, NULL FROM j WHERE aid IS NULL
   UNION ALL SELECT aid, 'path', -1, ap, bp FROM h WHERE ap IS DISTINCT FROM bp
   UNION ALL SELECT aid, 'language', -1, al, bl FROM h WHERE al IS DISTINCT FROM bl
-  UNION ALL SELECT aid, 'segments', -1, NULL, NULL FROM h WHERE (x IS NULL) <> (y IS NULL)
+  UNION ALL SELECT aid, 'segments', -1, CAST(to_json(x) AS VARCHAR), CAST(to_json(y) AS VARCHAR) FROM h WHERE (x IS NULL) <> (y IS NULL)
   UNION ALL SELECT aid, 'segments', i, x[i + 1].text, y[i + 1].text FROM p
             WHERE (i < len(x)) <> (i < len(y)) OR x[i + 1].text IS DISTINCT FROM y[i + 1].text)
 """
@@ -65,4 +65,5 @@ SQL = {
 n AS (SELECT rec_id, s, e, sum(CASE WHEN pe IS NULL OR s > pe THEN 1 ELSE 0 END) OVER (PARTITION BY rec_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS k FROM m)
 SELECT rec_id, min(s) AS period_start_ms, max(e) AS period_end_ms FROM n GROUP BY rec_id, k""",
     "p7_found": f"WITH {_PAIRS} SELECT transcript_id, kind, CAST(pos AS INTEGER) AS seg_no FROM d",
+    "p7_differences": f"WITH {_PAIRS} SELECT transcript_id, kind, CAST(pos AS INTEGER) AS position, lv AS left_value, rv AS right_value FROM d",
 }

@@ -1,4 +1,4 @@
-"""Streams (an extension): progress by time window, and continuous periods of intervals in keyed state."""
+"""Streams (an extension): progress by time window, and the disjoint intervals of each time bucket in keyed state."""
 
 from __future__ import annotations
 

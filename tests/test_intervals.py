@@ -32,6 +32,16 @@ def test_map_equals_brute_force(rows):
     assert m.gaps == [b - a for a, b in gaps]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(0, 80), st.integers(0, 9)), max_size=8), max_size=8))
+def test_runs_equal_brute_force(runs):
+    m = iv.IntervalMap()
+    for run in runs:
+        m.insert_run(*iv.disjoint(sorted((s, s + n) for s, n in run)))
+    gaps, periods = brute([(s, s + n) for run in runs for s, n in run])
+    assert list(m.periods()) == periods and m.gaps == [b - a for a, b in gaps]
+
+
 def test_distributed_equals_brute_force(spark, monkeypatch):
     rng = random.Random(3)
     rows = [(k, s, s + rng.choice([0, 50, 900, 700_000])) for k in (1, 2) for s in (rng.randrange(0, 5_000_000) for _ in range(300))]
@@ -54,6 +64,9 @@ def test_words_dirty_times(spark):
     got = iv.word_intervals(df, "rec_id", "w")
     assert {tuple(r) for r in got.collect()} == {(1, 1000, 2000), (1, 2250, 3000)}
     assert [tuple(r) for r in iv.gaps(got, 250).collect()] == [(1, 2000, 2250)]
+    spans = iv.word_spans(df, "rec_id", "w")
+    assert [tuple(r) for r in iv.gaps(spans, 250).collect()] == [(1, 2000, 2250)]
+    assert [tuple(r) for r in iv.periods(spans).drop("period_no").collect()] == [(1, 1000, 2000), (1, 2250, 3000)]
     assert iv.gaps(got, 251).count() == 0
     assert iv.gaps(got.filter(F.lit(False))).count() == 0 and iv.periods(got.filter(F.lit(False))).count() == 0
 
