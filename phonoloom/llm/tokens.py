@@ -2,12 +2,13 @@
 
 Texts are cut into words by the vocabulary's pattern. The distinct words of a batch become token-position rows, one row per
 byte at first. A recursive query joins neighbouring rows with the merge table and contracts, in each step, each word's
-pair of minimum rank from the left (all its occurrences that do not overlap: a contraction only makes pairs of higher rank,
-so this is what one contraction at a time would give), until no word has a pair left. An ordered aggregation gives each
-word's ids, and each text is the concatenation of its words.
+leftmost pair of minimum rank, until no word has a pair left. An ordered aggregation gives each word's ids, and each text is the
+concatenation of its words.
 
-The steps of one query are bounded, and what is unfinished is carried into the next query, so a word of any length needs
-memory in proportion to its length only. Words are remembered within a partition, up to ``REMEMBER`` of them.
+Words of more than ``SHORT_BYTES`` would need too many steps: for them a step contracts all occurrences of the minimum pair that
+do not overlap (a contraction only makes pairs of higher rank, so the result is the same), the steps of one query are bounded,
+and what is unfinished is carried into the next query, so a word of any length needs memory in proportion to its length only.
+Words are remembered within a partition, up to ``REMEMBER`` of them.
 
 Defined results: null and empty texts have the empty list; text that spells a special token is ordinary text; rows with a null
 key are kept out.
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bytes of the words of one query, steps of one query, and words remembered.
 QUERY_BYTES, QUERY_STEPS, REMEMBER = 400_000, 24, 200_000
+#: Bytes of a word up to which a step contracts one pair.
+SHORT_BYTES = 64
 #: Texts whose new words are encoded together.
 TEXTS = 1_000
 
@@ -81,6 +84,19 @@ FROM (SELECT *, max(step) OVER (PARTITION BY w) AS last FROM t) WHERE step = las
 """
 
 
+_SHORT = f"""
+WITH RECURSIVE t(w, pos, id, step) AS (
+  SELECT w, pos, id, 0 FROM rows
+  UNION ALL
+  SELECT t.w, CASE WHEN t.pos > b.at THEN t.pos - 1 ELSE t.pos END, CASE WHEN t.pos = b.at THEN b.made ELSE t.id END, t.step + 1
+  FROM t JOIN (
+    SELECT x.w, arg_min(x.pos, m.rank * {2 * SHORT_BYTES} + x.pos) AS at, arg_min(m.made, m.rank * {2 * SHORT_BYTES} + x.pos) AS made
+    FROM t x JOIN t y ON y.w = x.w AND y.pos = x.pos + 1 JOIN merges m ON m.l = x.id AND m.r = y.id GROUP BY x.w) b ON b.w = t.w
+  WHERE t.pos <> b.at + 1)
+SELECT w, array_agg(id ORDER BY pos) AS ids FROM t JOIN (SELECT w, max(step) AS step FROM t GROUP BY w) USING (w, step) GROUP BY w
+"""
+
+
 class Encoder:
     """Encodes words with DuckDB; one per partition."""
 
@@ -91,21 +107,32 @@ class Encoder:
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
         table = pa.table({n: pa.array(merges[:, k]) for k, n in enumerate(("l", "r", "rank", "made"))})
         self.db.register("given_merges", table)
-        self.db.execute("CREATE TABLE merges AS SELECT * FROM given_merges")
+        self.db.execute("CREATE TABLE merges AS SELECT l, r, CAST(rank AS BIGINT) AS rank, made FROM given_merges")
         self.query = _STEP.format(steps=steps)
 
-    def _run(self, words: list[list[int]]) -> list[list[int]]:
-        """Contracts words, given as ids, to the end."""
+    def _rows(self, state: list) -> pa.Table:
+        sizes = [len(s) for s in state]
+        return pa.table({
+            "w": pa.array(np.repeat(np.arange(len(state), dtype=np.int32), sizes)),
+            "pos": pa.array(np.concatenate([np.arange(1, n + 1, dtype=np.int32) for n in sizes])),
+            "id": pa.array(np.concatenate([np.asarray(s, np.int32) for s in state])),
+        })
+
+    def _run_short(self, words: list) -> list[list[int]]:
+        """Contracts words of at most ``SHORT_BYTES``, given as ids, to the end."""
+        self.db.register("rows", self._rows(words))
+        out = self.db.sql(_SHORT).to_arrow_table()
+        self.db.unregister("rows")
+        got = dict(zip(out["w"].to_pylist(), out["ids"].to_pylist()))
+        return [got[k] for k in range(len(words))]
+
+    def _run(self, words: list) -> list[list[int]]:
+        """Contracts words of any length, given as ids, to the end."""
         done: list[list[int]] = [[]] * len(words)
         todo = list(range(len(words)))
         state = words
         while todo:
-            sizes = [len(s) for s in state]
-            rows = pa.table({
-                "w": pa.array(np.repeat(np.arange(len(state), dtype=np.int32), sizes)),
-                "pos": pa.array(np.concatenate([np.arange(1, n + 1, dtype=np.int32) for n in sizes])),
-                "id": pa.array(np.concatenate([np.asarray(s, np.int32) for s in state])),
-            })
+            rows = self._rows(state)
             self.db.register("rows", rows)
             out = self.db.sql(self.query).to_arrow_table()
             self.db.unregister("rows")
@@ -121,20 +148,21 @@ class Encoder:
 
     def learn(self, words: list[str]) -> None:
         part: list[str] = []
-        total = 0
-        for w in sorted(words, key=lambda w: (len(w), w)):
+        total, short = 0, True
+        for w in sorted(words, key=lambda w: (len(w.encode()), w)):
             n = len(w.encode())
-            if part and total + n > self.size:
-                self._learn(part)
+            if part and (total + n > self.size or short != (n <= SHORT_BYTES)):
+                self._learn(part, short)
                 part, total = [], 0
+            short = n <= SHORT_BYTES
             part.append(w)
             total += n
         if part:
-            self._learn(part)
+            self._learn(part, short)
 
-    def _learn(self, words: list[str]) -> None:
-        start = [self.byte_ids[np.frombuffer(w.encode(), np.uint8)].tolist() for w in words]
-        for w, ids in zip(words, self._run(start)):
+    def _learn(self, words: list[str], short: bool) -> None:
+        start = [self.byte_ids[np.frombuffer(w.encode(), np.uint8)] for w in words]
+        for w, ids in zip(words, self._run_short(start) if short else self._run(start)):
             self.known[w] = ids
 
     def words(self, texts: list[str | None]) -> list[list[str]]:
