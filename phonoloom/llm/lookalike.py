@@ -38,16 +38,16 @@ def _class_text(chars) -> str:
 
 
 #: Characters that the canonical member should not have: they have a usual counterpart.
-_ODD = f"[{_class_text([*FULLWIDTH, *map(chr, [*INVISIBLE, *SPACES])])}\\p{{Mn}}]"
+ODD = f"[{_class_text([*FULLWIDTH, *map(chr, [*INVISIBLE, *SPACES])])}\\p{{Mn}}]"
 #: A letter of one script next to a letter of another.
-_MIXED = r"(?:\p{IsLatin}\p{M}*[\p{IsCyrillic}\p{IsGreek}]|[\p{IsCyrillic}\p{IsGreek}]\p{M}*\p{IsLatin})"
+MIXED = r"(?:\p{IsLatin}\p{M}*[\p{IsCyrillic}\p{IsGreek}]|[\p{IsCyrillic}\p{IsGreek}]\p{M}*\p{IsLatin})"
 #: Marks around a word: everything but letters, digits, accents and characters that show nothing.
 OUTER = f"[^\\p{{L}}\\p{{N}}\\p{{M}}{_class_text(map(chr, INVISIBLE))}]"
 
 
 def oddness(c: Column) -> Column:
     """How many characters of a text have a more usual counterpart."""
-    odd = F.regexp_count(c, F.lit(_ODD)) + F.regexp_count(c, F.lit(_MIXED))
+    odd = F.regexp_count(c, F.lit(ODD)) + F.regexp_count(c, F.lit(MIXED))
     return F.when(F.octet_length(c) == F.char_length(c), 0).otherwise(odd)
 
 

