@@ -60,12 +60,6 @@ def tight(c: Column, spaces: str = r"\s+") -> Column:
     return F.regexp_replace(c, f"{spaces}([,.!?])", "$1")
 
 
-def join_words(ws: Column, spaces: str = r"\s+") -> Column:
-    """Stripped words with blanks between, without the blanks before ``, . ! ?``."""
-    text = F.array_join(F.transform(ws, lambda w: strip(F.coalesce(w, F.lit("")))), " ")
-    return tight(text, spaces)
-
-
 def one_line(c: Column) -> Column:
     return strip(F.replace(c, F.lit("\n"), F.lit(" ")))
 
@@ -83,6 +77,6 @@ def rule_violations(c: Column) -> Column:
     """``empty`` alone for an empty sentence, else ``not_upper`` and ``no_end`` as they apply."""
     t = strip(c)
     found = F.filter(
-        F.array(F.when(~t.rlike(r"^\p{Lu}"), F.lit("not_upper")), F.when(~t.rlike(SENTENCE_END), F.lit("no_end"))), lambda v: v.isNotNull()
+        F.array(F.when(~starts_upper(c), F.lit("not_upper")), F.when(~ends_sentence(c), F.lit("no_end"))), lambda v: v.isNotNull()
     )
     return F.when(F.coalesce(t, F.lit("")) == "", F.array(F.lit("empty"))).otherwise(found)

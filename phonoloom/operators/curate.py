@@ -5,7 +5,7 @@ Nothing is moved by a query: a manifest lists ``action, src, dst``; ``phonoloom.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phonoloom.functions import paths
@@ -78,5 +78,19 @@ def conversion(rate: Column, width: Column, channels: Column, to: tuple[int, int
     return F.when((rate == to[0]) & (width == to[1]) & (channels == to[2]), "copy").otherwise("convert")
 
 
-def numbered(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    return df.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+def with_texts(copies: DataFrame, texts: DataFrame, keys: list[str]) -> DataFrame:
+    """Copies beside their texts (``text_path``); a copy without one stays, with ``warning``."""
+    found = texts.groupBy(*keys).agg(F.min("path").alias("text_path"))
+    rows = copies.join(found, keys, "left")
+    return rows.withColumn("warning", F.when(F.col("text_path").isNull(), "no text beside it"))
+
+
+def with_existing(rows: DataFrame, path: str, files: DataFrame) -> DataFrame:
+    """Rows whose path is that of an existing file."""
+    return rows.join(files.select(F.col("path").alias(path)).distinct(), path, "left_semi")
+
+
+def merged_samples(jsons: DataFrame, texts: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``path, sentence, analysis`` of each JSON file (path, analysis) with a text (text) beside it, and the paths of those without."""
+    one = texts.groupBy(*keys).agg(F.min_by("text", "path").alias("sentence"))
+    return jsons.join(one, keys).select("path", "sentence", "analysis"), jsons.join(one, keys, "left_anti").select("path")

@@ -58,24 +58,22 @@ def duration_stats(df: DataFrame, seconds: str, most: float = 30) -> DataFrame:
 
 def histogram(df: DataFrame, seconds: str, most: float = 30, bins: int = 30) -> DataFrame:
     """Equal-width bins over the durations up to ``most``, empty bins included; a single value gets half a unit on each side."""
-    kept = df.filter(F.col(seconds) <= most).select(F.col(seconds).alias("x"))
-    kept.createOrReplaceTempView("phonoloom_kept")
-    spark = df.sparkSession
-    low = "(SELECT min(x) FROM phonoloom_kept)"
-    high = "(SELECT max(x) FROM phonoloom_kept)"
-    rows = spark.sql(f"SELECT x, IF({low} = {high}, {low} - 0.5D, {low}) AS low, IF({low} = {high}, {high} + 0.5D, {high}) AS high FROM phonoloom_kept")
-    got = rows.groupBy(bin_index(F.col("x"), F.col("low"), F.col("high"), bins).alias("bin")).agg(F.count("*").alias("n"))
-    return spark.range(bins).select(F.col("id").cast("int").alias("bin")).join(got, "bin", "left").fillna(0, ["n"])
+    kept = df.filter(F.col(seconds) <= most).select(F.col(seconds).cast("double").alias("x"))
+    low, high = (kept.agg(f("x")).scalar() for f in (F.min, F.max))
+    half = F.when(low == high, 0.5).otherwise(0.0)
+    got = kept.groupBy(bin_index(F.col("x"), low - half, high + half, bins).alias("bin")).agg(F.count("*").alias("n"))
+    return df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).join(got, "bin", "left").fillna(0, ["n"])
 
 
 def density(df: DataFrame, seconds: str, most: float = 30, points: int = 200) -> DataFrame:
     """Gaussian kernel density on an even grid, with Scott's bandwidth. Equal values are combined first, and each meets the
     fixed grid inside the row; the sums combine map side."""
-    df.filter(F.col(seconds) <= most).select(F.col(seconds).alias("x")).createOrReplaceTempView("phonoloom_kept")
-    return df.sparkSession.sql(f"""
-      WITH s AS (SELECT min(x) AS low, max(x) AS high, stddev_samp(x) * power(count(*), -0.2D) AS h, count(*) AS n FROM phonoloom_kept),
-      v AS (SELECT x, count(*) AS c, (SELECT low FROM s) AS low, (SELECT high FROM s) AS high, (SELECT h FROM s) AS h, (SELECT n FROM s) AS n FROM phonoloom_kept GROUP BY x),
-      g AS (SELECT *, explode(sequence(0, {points - 1})) AS point FROM v)
-      SELECT point, round(max(low + point * (high - low) / {points - 1}D), 6) AS at,
-             round(sum(c * exp(-0.5D * power((low + point * (high - low) / {points - 1}D - x) / h, 2))) / max(n * h * sqrt(2 * pi())), 6) AS density
-      FROM g GROUP BY point""")
+    kept = df.filter(F.col(seconds) <= most).select(F.col(seconds).cast("double").alias("x"))
+    width = F.stddev_samp("x") * F.power(F.count("*"), F.lit(-0.2))
+    low, high, h, n = (kept.agg(e).scalar() for e in (F.min("x"), F.max("x"), width, F.count("*")))
+    values = kept.groupBy("x").agg(F.count("*").alias("c")).select("*", low.alias("low"), high.alias("high"), h.alias("h"), n.alias("n"))
+    grid = values.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    at = F.col("low") + F.col("point") * (F.col("high") - F.col("low")) / F.lit(points - 1.0)
+    kernel = F.col("c") * F.exp(F.lit(-0.5) * F.power((at - F.col("x")) / F.col("h"), F.lit(2.0)))
+    whole = F.max(F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))
+    return grid.groupBy("point").agg(F.round(F.max(at), 6).alias("at"), F.round(F.sum(kernel) / whole, 6).alias("density"))

@@ -5,6 +5,10 @@ Defined results: a word without a start or an end (null or NaN) has no time. Nul
 
 from __future__ import annotations
 
+import math
+import random
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,23 +71,50 @@ def from_start(found: Column, start_seconds: float = 0) -> Column:
     return F.filter(found, lambda s: s["start_ms"] >= int(start_seconds * 1000)) if start_seconds > 0 else found
 
 
-def chunks(found: Column, target: float = 15.0, least: float = 1.0, most: float = 30.0) -> Column:
+def chunks(found: Column, target: float | Column = 15.0, least: float = 1.0, most: float = 30.0) -> Column:
     """Greedy chunks of sentences. The open chunk takes the next sentence unless it reached the target (and the least), or
-    would grow beyond ``most``; a chunk whose start is its end takes any."""
-    if not 0 <= least <= most or target <= 0:
+    would grow beyond ``most``; a chunk whose start is its end takes any. ``target`` is a number of seconds or an array with one
+    for each chunk in turn (``targets``)."""
+    if not 0 <= least <= most or (not isinstance(target, Column) and target <= 0):
         raise ValueError("chunks need 0 <= least <= most and a target above 0")
     seconds = lambda a, b: (b - a) / F.lit(1000.0)
-    empty = F.array().cast(f"array<{SENTENCE}>")
-
-    def step(done: Column, s: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        size = seconds(last["start_ms"], last["end_ms"])
-        full = (size >= target) & (size >= least)
-        takes = (F.size(done) > 0) & ~full & ((last["start_ms"] == last["end_ms"]) | (seconds(last["start_ms"], s["end_ms"]) <= most))
-        grown = F.struct(last["start_ms"].alias("start_ms"), s["end_ms"].alias("end_ms"), F.concat_ws(" ", last["text"], s["text"]).alias("text"))
-        return F.when(takes, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(grown))).otherwise(F.concat(done, F.array(s)))
-
-    return F.aggregate(found, empty, step)
+    state = lambda closed, now, no: F.struct(closed.alias("closed"), now.alias("now"), no.alias("no"))
+    begin = state(F.array().cast(f"array<{SENTENCE}>"), F.lit(None).cast(SENTENCE), F.lit(0))
+    ended = lambda st: F.when(st["now"].isNull(), st["closed"]).otherwise(F.concat(st["closed"], F.array(st["now"])))
+
+    def step(st: Column, s: Column) -> Column:
+        now = st["now"]
+        size = seconds(now["start_ms"], now["end_ms"])
+        full = (size >= (F.get(target, st["no"] - 1) if isinstance(target, Column) else F.lit(target))) & (size >= least)
+        takes = now.isNotNull() & ~full & ((now["start_ms"] == now["end_ms"]) | (seconds(now["start_ms"], s["end_ms"]) <= most))
+        grown = F.struct(now["start_ms"].alias("start_ms"), s["end_ms"].alias("end_ms"), F.concat_ws(" ", now["text"], s["text"]).alias("text"))
+        return F.when(takes, state(st["closed"], grown, st["no"])).otherwise(state(ended(st), s, st["no"] + 1))
+
+    return F.aggregate(found, begin, step, ended)
+
+
+def targets(key: Column, n: Column, mean: float = 15.0, spread: float = 5.0, least: float = 1.0, most: float = 30.0, uniform: bool = False, seed: int = 0) -> Column:
+    """``n`` target lengths from ``least`` to ``most`` seconds: of a normal distribution, drawn anew while outside, or uniform.
+
+    The draws depend on the seed and the key of the file only. Null keys have draws of their own; a null ``n`` gives none."""
+    inside = 0.5 * (math.erf((most - mean) / (spread * math.sqrt(2))) - math.erf((least - mean) / (spread * math.sqrt(2)))) if spread > 0 else float(least <= mean <= most)
+    if not 0 <= least <= most or most <= 0 or (not uniform and inside < 1e-6):
+        raise ValueError("targets need 0 <= least <= most, and a distribution that reaches between them")
+
+    @F.pandas_udf("array<double>")
+    def draw(keys: pd.Series, counts: pd.Series) -> pd.Series:
+        def one(k, count) -> list[float]:
+            rng = random.Random(f"{seed}|{k}")
+            out: list[float] = []
+            while len(out) < count:
+                x = rng.uniform(least, most) if uniform else rng.gauss(mean, spread)
+                if least <= x <= most:
+                    out.append(x)
+            return out
+
+        return pd.Series([one(k, 0 if c is None or c != c else int(c)) for k, c in zip(keys, counts)])
+
+    return draw(key.cast("string"), n)
 
 
 def chunk_status(start: Column, end: Column, least_ms: int = 200, length_ms: Column | None = None) -> Column:

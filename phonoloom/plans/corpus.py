@@ -207,6 +207,14 @@ def group_presence(spark: SparkSession, d: str) -> DataFrame:
     return _catalog(spark, d).groupBy("dir", "base").agg(has("json"), has("txt"))
 
 
+def labels_beside_transcripts(spark: SparkSession, d: str) -> DataFrame:
+    return curate.with_texts(_labels(spark, d).select("label_id", "dir", "base"), _scripts(spark, d), ["dir", "base"]).select("label_id", "text_path", "warning")
+
+
+def mirrored_paths(spark: SparkSession, d: str) -> DataFrame:
+    return curate.with_existing(_scripts(spark, d).select("transcript_id", "path"), "path", table(spark, d, "transcripts_mirror")).select("transcript_id", "path")
+
+
 def flat_moves(spark: SparkSession, d: str) -> DataFrame:
     return curate.manifest(_catalog(spark, d), "path", F.col("ext") == "json", "/flat", keep_tree=False)
 
@@ -282,15 +290,25 @@ def band_energy(spark: SparkSession, d: str) -> DataFrame:
     return signal.band_energy(_vectors(spark, d), "vec_id", "embedding", 17.0)
 
 
+def filter_energy_ratio(spark: SparkSession, d: str) -> DataFrame:
+    """Energy of each vector before and behind a filter that takes away the low hum, and which are above the most."""
+    bands = band_energy(spark, d).groupBy("vec_id").agg(F.sum("energy").alias("unfiltered"), F.sum(F.when(F.col("label") != "low_hum", F.col("energy"))).alias("filtered"))
+    ratio = signal.energy_ratio(F.col("unfiltered"), F.col("filtered"))
+    return bands.select("vec_id", F.round(ratio, 6).alias("ratio"), signal.above(F.round(ratio, 6)).alias("moves"))
+
+
 def class_top5(spark: SparkSession, d: str) -> DataFrame:
     names = spark.createDataFrame([(k, f"class {k}") for k in range(0, 64, 2)], "class int, name string")
     top = signal.top_classes(signal.class_means(_vectors(spark, d), "label", "embedding"), "label")
-    return top.join(F.broadcast(names), "class", "left").select("label", "rank", "class", F.coalesce("name", F.lit("unknown")).alias("name"), "score")
+    return top.join(names, "class", "left").select("label", "rank", "class", F.coalesce("name", F.lit("unknown")).alias("name"), "score")
 
 
 def speech_gate(spark: SparkSession, d: str) -> DataFrame:
-    scores = F.array(F.struct(F.lit("Music").alias("label"), F.lit(0.5).alias("score")), F.struct(F.when(F.col("label") != 3, F.lit("Speech")).otherwise(F.lit("Noise")).alias("label"), (F.lit(1.0) - F.col("label") / F.lit(50.0)).alias("score")))
-    return _vectors(spark, d).select("vec_id", curate.low_score(scores).alias("moves"))
+    """The first two members of a vector as the scores of two classes; the second one is speech but for one label."""
+    score = lambda name, k: F.struct(name.alias("label"), F.get(F.col("embedding"), k).cast("double").alias("score"))
+    second = F.when(F.col("label") != 3, F.lit("Speech")).otherwise(F.lit("Noise"))
+    scores = F.array(score(F.lit("Music"), 0), score(second, 1))
+    return _vectors(spark, d).select("vec_id", curate.low_score(scores, least=0.1).alias("moves"))
 
 
 def long_media_parts(spark: SparkSession, d: str) -> DataFrame:
@@ -306,12 +324,21 @@ def outcome_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def realtime_factor(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").select("event_id", F.round(progress.realtime_factor(F.lit(30.0), F.col("value") - 1), 6).alias("factor"))
+    """Media seconds of each event for each second since the user's event before; a first event has no factor."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    spent = (at - F.lag(at).over(_by("user_id").orderBy("ts", "event_id"))) / F.lit(1e6)
+    rows = table(spark, d, "events").select("event_id", "value", spent.alias("spent"))
+    return rows.select("event_id", F.when(F.col("spent").isNotNull(), F.round(progress.realtime_factor(F.col("value"), F.col("spent")), 6)).alias("factor"))
 
 
-_RMS = lambda a: f"[sqrt(list_sum([pow(CAST(x AS DOUBLE), 2) for x in {a}[i * 8 + 1 : i * 8 + 8]]) / 8) for i in range(4)]"
+_PADDED = lambda a: f"list_concat(list_concat([0.0, 0.0, 0.0, 0.0], {a}), [0.0, 0.0, 0.0, 0.0])"
+_RMS = lambda a: f"[sqrt(list_sum([pow(CAST(x AS DOUBLE), 2) for x in {_PADDED(a)}[i * 8 + 1 : i * 8 + 8]]) / 8) for i in range(5)]"
 _P10 = lambda a: f"20 * log10(quantile_cont_list + 1e-6)".replace("quantile_cont_list", f"list_aggregate({_RMS(a)}, 'quantile_cont', 0.1)")  # noqa: E731,F541
 _NOISE = f"nf AS (SELECT vec_id, round(greatest({_P10('embedding[1:32]')}, {_P10('embedding[33:64]')}), 6) AS noise_db FROM embeddings)"
+_BANDS_SQL = f"""WITH x AS (SELECT vec_id, unnest(embedding) AS v, unnest(range(len(embedding))) AS i FROM embeddings), e AS (SELECT vec_id, i * 17.0 AS f, pow(CAST(v AS DOUBLE), 2) AS e FROM x),
+b(label, low, high) AS (VALUES {', '.join(f"('{k}', {a}, {z})" for k, (a, z) in signal.BANDS.items())}), t AS (SELECT vec_id, sum(e) AS total FROM e GROUP BY vec_id)
+SELECT t.vec_id, label, CAST(low AS INTEGER) AS low, CAST(high AS INTEGER) AS high, round(coalesce(sum(e.e), 0), 6) AS energy, round(CASE WHEN total > 0 THEN coalesce(sum(e.e), 0) / total ELSE 0 END, 6) AS ratio
+FROM t CROSS JOIN b LEFT JOIN e ON e.vec_id = t.vec_id AND e.f BETWEEN low AND high GROUP BY t.vec_id, label, low, high, total"""
 _STAMP = "PARTITION BY user_id ORDER BY ts, event_id"
 
 QUERIES = {
@@ -319,8 +346,8 @@ QUERIES = {
     for f in (
         transcript_agreement_by_lang, fuzzy_agreement_by_lang, transcript_agreement_totals, drop_unmatched_groups, fuzzy_unmatched_groups, sentence_segments, greedy_chunks, legacy_sentences, short_chunk_stats,
         drop_bad_language, drop_numbers, exact_dedup, pending_work, priority_sibling, metadata_manifest, language_partition, sentence_rule_violations,
-        stable_rename, rename_collisions, json_merge, group_presence, flat_moves, word_counts, word_totals, word_freq_of_freq, letter_frequency, token_totals,
-        duration_totals, duration_stats, duration_histogram, duration_kde, noise_floor, noise_top5, noise_summary, band_energy, class_top5, speech_gate,
+        stable_rename, rename_collisions, json_merge, group_presence, labels_beside_transcripts, mirrored_paths, flat_moves, word_counts, word_totals, word_freq_of_freq, letter_frequency, token_totals,
+        duration_totals, duration_stats, duration_histogram, duration_kde, noise_floor, noise_top5, noise_summary, band_energy, filter_energy_ratio, class_top5, speech_gate,
         long_media_parts, progress_eta, outcome_counts, realtime_factor,
     )
 }
@@ -357,6 +384,8 @@ SELECT rule, count(*) AS labels FROM v GROUP BY rule""",
     "rename_collisions": f"WITH {_CATALOG} SELECT base, count(DISTINCT dir) AS dirs, count(*) AS files FROM cat GROUP BY base HAVING count(DISTINCT dir) > 1",
     "json_merge": f"WITH {_LABELS}, {_SCRIPTS} SELECT label_id, scr.path AS json_path, text AS sentence, CAST(coalesce(len(segments), 0) AS INTEGER) AS n_segments FROM lab JOIN scr USING (dir, base)",
     "group_presence": f"WITH {_CATALOG} SELECT dir, base, bool_or(ext = 'json') AS has_json, bool_or(ext = 'txt') AS has_txt FROM cat GROUP BY ALL",
+    "labels_beside_transcripts": f"WITH {_LABELS}, {_SCRIPTS}, t AS (SELECT dir, base, min(path) AS text_path FROM scr GROUP BY ALL) SELECT label_id, text_path, CASE WHEN text_path IS NULL THEN 'no text beside it' END AS warning FROM lab LEFT JOIN t USING (dir, base)",
+    "mirrored_paths": f"WITH {_SCRIPTS} SELECT transcript_id, path FROM scr WHERE path IN (SELECT path FROM transcripts_mirror WHERE path IS NOT NULL)",
     "flat_moves": f"""WITH {_CATALOG}, f AS (SELECT path AS src, CASE WHEN ext = 'json' THEN 'move' ELSE 'keep' END AS action, CASE WHEN ext = 'json' THEN '/flat/' || regexp_extract({_P('path')}, '([^/]*)$', 1) END AS dst FROM cat),
 c AS (SELECT *, count(*) OVER (PARTITION BY dst) AS n FROM f) SELECT src, action, dst, CASE WHEN dst IS NOT NULL AND n > 1 THEN n ELSE 0 END AS collides FROM c""",
     "word_counts": f"WITH {_WC} SELECT word, n FROM wc",
@@ -371,15 +400,13 @@ c AS (SELECT *, count(*) OVER (PARTITION BY dst) AS n FROM f) SELECT src, action
     "noise_floor": f"WITH {_NOISE} SELECT * FROM nf",
     "noise_top5": f"WITH {_NOISE} SELECT * FROM nf ORDER BY noise_db DESC, vec_id LIMIT 5",
     "noise_summary": f"WITH {_NOISE} SELECT round(avg(noise_db), 4) AS mean_db, min(noise_db) AS best_db, max(noise_db) AS worst_db FROM nf",
-    "band_energy": f"""WITH x AS (SELECT vec_id, unnest(embedding) AS v, unnest(range(len(embedding))) AS i FROM embeddings), e AS (SELECT vec_id, i * 17.0 AS f, pow(CAST(v AS DOUBLE), 2) AS e FROM x),
-b(label, low, high) AS (VALUES {', '.join(f"('{k}', {a}, {z})" for k, (a, z) in signal.BANDS.items())}), t AS (SELECT vec_id, sum(e) AS total FROM e GROUP BY vec_id)
-SELECT t.vec_id, label, CAST(low AS INTEGER) AS low, CAST(high AS INTEGER) AS high, round(coalesce(sum(e.e), 0), 6) AS energy, round(CASE WHEN total > 0 THEN coalesce(sum(e.e), 0) / total ELSE 0 END, 6) AS ratio
-FROM t CROSS JOIN b LEFT JOIN e ON e.vec_id = t.vec_id AND e.f BETWEEN low AND high GROUP BY t.vec_id, label, low, high, total""",
+    "band_energy": _BANDS_SQL,
+    "filter_energy_ratio": f"WITH be AS ({_BANDS_SQL}), r AS (SELECT vec_id, round(sum(energy) / nullif(greatest(sum(CASE WHEN label <> 'low_hum' THEN energy END), 0), 0), 6) AS ratio FROM be GROUP BY vec_id) SELECT vec_id, ratio, coalesce(ratio > 1.1, false) AS moves FROM r",
     "class_top5": "WITH x AS (SELECT label, CAST(unnest(embedding) AS DOUBLE) AS v, unnest(range(len(embedding))) AS class FROM embeddings), m AS (SELECT label, class, round(avg(v), 6) AS score FROM x GROUP BY ALL), k AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, class) AS rank FROM m) SELECT label, CAST(rank AS INTEGER) AS rank, CAST(class AS INTEGER) AS class, CASE WHEN class % 2 = 0 THEN 'class ' || class ELSE 'unknown' END AS name, score FROM k WHERE rank <= 5",
-    "speech_gate": "SELECT vec_id, CASE WHEN label <> 3 THEN 1 - label / 50.0 < 0.95 ELSE true END AS moves FROM embeddings",
+    "speech_gate": "SELECT vec_id, CASE WHEN label <> 3 THEN coalesce(CAST(embedding[2] AS DOUBLE) < 0.1, true) ELSE true END AS moves FROM embeddings",
     "long_media_parts": "WITH e AS (SELECT event_id, value, unnest(range(1, CAST(ceil(value / 100) AS BIGINT) + 1)) AS k FROM events WHERE value > 100) SELECT event_id, CAST(k AS INTEGER) AS part, CAST(100 * (k - 1) AS DOUBLE) AS from_s, round(least(100.0 * k, value), 3) AS to_s FROM e",
     "progress_eta": f"""WITH p AS (SELECT user_id, event_id, row_number() OVER ({_STAMP}) AS done, count(*) OVER (PARTITION BY user_id) AS total, epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY user_id) AS us FROM events)
 SELECT user_id, event_id, CAST(done AS INTEGER) AS done, total, round(100.0::DOUBLE * done / total, 4) AS percent, round(us / 1e6::DOUBLE / done * (total - done), 3) AS eta_s FROM p""",
     "outcome_counts": "SELECT event_type AS status, count(*) AS n FROM events GROUP BY event_type",
-    "realtime_factor": "SELECT event_id, round(CASE WHEN value - 1 > 0 THEN 30.0::DOUBLE / (value - 1) ELSE 0 END, 6) AS factor FROM events",
+    "realtime_factor": f"WITH p AS (SELECT event_id, value, (epoch_us(ts) - lag(epoch_us(ts)) OVER ({_STAMP})) / 1e6::DOUBLE AS spent FROM events) SELECT event_id, round(CASE WHEN spent IS NULL THEN NULL WHEN spent > 0 THEN value / spent ELSE 0 END, 6) AS factor FROM p",
 }

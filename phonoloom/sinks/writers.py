@@ -12,6 +12,7 @@ import shutil
 from collections.abc import Iterator
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -46,10 +47,10 @@ def json_array(df: DataFrame) -> DataFrame:
     return df.agg(F.to_json(F.sort_array(F.collect_list(F.struct(*df.columns)))).alias("json"))
 
 
-def _write(path: str, content: str) -> None:
+def _write(path: str, content: str | bytes) -> None:
     os.makedirs(os.path.dirname(path), exist_ok=True)
     part = f"{path}.part-{os.getpid()}"
-    Path(part).write_text(content, encoding="utf-8")
+    Path(part).write_bytes(content.encode() if isinstance(content, str) else content)
     os.replace(part, path)
 
 
@@ -63,6 +64,16 @@ def text_files(df: DataFrame, path: str = "out_path", text: str = "text") -> Non
     df.select(path, text).foreachPartition(run)
 
 
+def binary_files(df: DataFrame, path: str = "out_path", content: str = "content") -> None:
+    """Each row's bytes as a file."""
+
+    def run(rows: Iterator[Row]) -> None:
+        for r in rows:
+            _write(r[path], bytes(r[content]))
+
+    df.select(path, content).foreachPartition(run)
+
+
 def json_files(df: DataFrame, path: str = "out_path") -> None:
     """Each row's other columns as an indented JSON file."""
     body = [c for c in df.columns if c != path]
@@ -75,7 +86,8 @@ def json_files(df: DataFrame, path: str = "out_path") -> None:
 
 
 def apply_manifest(manifest: DataFrame, copy: bool = False) -> dict[str, int]:
-    """Carries out the moves (or copies) of a manifest, row by row through an iterator; what is done already is skipped.
+    """Carries out the moves (or copies) of a manifest on the executors; what is done already is skipped. Returns how many were
+    ``moved``, ``skipped`` or ``missing``; a task that is run again counts what its first run moved as skipped.
 
     Colliding destinations are refused before anything moves.
     """
@@ -83,14 +95,27 @@ def apply_manifest(manifest: DataFrame, copy: bool = False) -> dict[str, int]:
     moves = stored(manifest.filter("action = 'move'").select("src", "dst"))
     if not moves.groupBy("dst").count().filter("count > 1").isEmpty():
         raise ValueError("several files have the same destination")
+
+    def carry(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"outcome": [_carry(src, dst, copy) for src, dst in zip(b["src"], b["dst"])]})
+
+    # Written before it is counted, so that nothing is carried out twice.
+    outcomes = stored(moves.mapInPandas(carry, "outcome string"))
     done = {"moved": 0, "skipped": 0, "missing": 0}
-    for r in moves.orderBy("src").toLocalIterator():
-        if os.path.exists(r.dst):
-            done["skipped"] += 1
-        elif not os.path.exists(r.src):
-            done["missing"] += 1
-        else:
-            os.makedirs(os.path.dirname(r.dst), exist_ok=True)
-            (shutil.copy2 if copy else shutil.move)(r.src, r.dst)
-            done["moved"] += 1
-    return done
+    return done | {r["outcome"]: r["count"] for r in outcomes.groupBy("outcome").count().collect()}
+
+
+def _carry(src: str, dst: str, copy: bool) -> str:
+    if os.path.exists(dst):
+        return "skipped"
+    if not os.path.exists(src):
+        return "missing"
+    os.makedirs(os.path.dirname(dst), exist_ok=True)
+    part = f"{dst}.part-{os.getpid()}"
+    if copy:
+        shutil.copy2(src, part)
+    else:
+        shutil.move(src, part)
+    os.replace(part, dst)
+    return "moved"
