@@ -3,9 +3,10 @@
 Texts are cut into words by the vocabulary's pattern. The distinct words of a batch become token-position rows, one row per
 byte at first. A recursive query joins neighbouring rows with the merge table and contracts, in each step, each word's
 leftmost pair of minimum rank, until no word has a pair left. An ordered aggregation gives each word's ids, and each text is the
-concatenation of its words.
+concatenation of its words. Words are cut first between bytes that stand next to each other in no merge: nothing is ever
+contracted across such a place, so the parts, which come again in other words, are encoded by themselves.
 
-Words of more than ``SHORT_BYTES`` would need too many steps: for them a step contracts all occurrences of the minimum pair that
+Parts of more than ``SHORT_BYTES`` would need too many steps: for them a step contracts all occurrences of the minimum pair that
 do not overlap (a contraction only makes pairs of higher rank, so the result is the same), the steps of one query are bounded,
 and what is unfinished is carried into the next query, so a word of any length needs memory in proportion to its length only.
 Words are remembered within a partition, up to ``REMEMBER`` of them.
@@ -97,12 +98,26 @@ SELECT w, array_agg(id ORDER BY pos) AS ids FROM t JOIN (SELECT w, max(step) AS
 """
 
 
+def tied(byte_ids: np.ndarray, merges: np.ndarray) -> np.ndarray:
+    """Whether a byte followed by another stands in any merge, as a table of both."""
+    size = int(max(byte_ids.max(), merges.max(initial=0))) + 1
+    first, last = np.zeros(size, np.int32), np.zeros(size, np.int32)
+    first[byte_ids] = last[byte_ids] = np.arange(256)
+    out = np.zeros((256, 256), bool)
+    for left, right, _, made in merges.tolist():  # in the order of their ranks: both sides are known
+        out[last[left], first[right]] = True
+        first[made], last[made] = first[left], last[right]
+    return out
+
+
 class Encoder:
     """Encodes words with DuckDB; one per partition."""
 
     def __init__(self, byte_ids: np.ndarray, merges: np.ndarray, steps: int = QUERY_STEPS, size: int = QUERY_BYTES) -> None:
         self.byte_ids, self.steps, self.size = byte_ids, steps, size
         self.known: dict[str, list[int]] = {}
+        self.parts: dict[bytes, list[int]] = {}
+        self.tied = tied(byte_ids, merges)
         self.pattern = regex.compile(PATTERN)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
         table = pa.table({n: pa.array(merges[:, k]) for k, n in enumerate(("l", "r", "rank", "made"))})
@@ -146,11 +161,21 @@ class Encoder:
             todo, state = unfinished, next_state
         return done
 
+    def cut(self, word: str) -> list[bytes]:
+        """Parts of a word that no merge joins."""
+        raw = word.encode()
+        if len(raw) < 2:
+            return [raw]
+        b = np.frombuffer(raw, np.uint8)
+        ends = (np.flatnonzero(~self.tied[b[:-1], b[1:]]) + 1).tolist()
+        return [raw[x:y] for x, y in zip([0, *ends], [*ends, len(raw)])]
+
     def learn(self, words: list[str]) -> None:
-        part: list[str] = []
+        cut = {w: self.cut(w) for w in words}
+        part: list[bytes] = []
         total, short = 0, True
-        for w in sorted(words, key=lambda w: (len(w.encode()), w)):
-            n = len(w.encode())
+        for w in sorted({x for xs in cut.values() for x in xs if x not in self.parts}, key=lambda w: (len(w), w)):
+            n = len(w)
             if part and (total + n > self.size or short != (n <= SHORT_BYTES)):
                 self._learn(part, short)
                 part, total = [], 0
@@ -159,11 +184,12 @@ class Encoder:
             total += n
         if part:
             self._learn(part, short)
+        for w, xs in cut.items():
+            self.known[w] = self.parts[xs[0]] if len(xs) == 1 else [i for x in xs for i in self.parts[x]]
 
-    def _learn(self, words: list[str], short: bool) -> None:
-        start = [self.byte_ids[np.frombuffer(w.encode(), np.uint8)] for w in words]
-        for w, ids in zip(words, self._run_short(start) if short else self._run(start)):
-            self.known[w] = ids
+    def _learn(self, parts: list[bytes], short: bool) -> None:
+        start = [self.byte_ids[np.frombuffer(w, np.uint8)] for w in parts]
+        self.parts.update(zip(parts, self._run_short(start) if short else self._run(start)))
 
     def words(self, texts: list[str | None]) -> list[list[str]]:
         """Words of each text; all of them are known afterwards."""
@@ -171,6 +197,7 @@ class Encoder:
         new = {w for ws in cut for w in ws if w not in self.known}
         if len(self.known) + len(new) > REMEMBER:
             self.known.clear()
+            self.parts.clear()
             new = {w for ws in cut for w in ws}
         if new:
             self.learn(list(new))
