@@ -33,7 +33,9 @@ BATCH = 256
 BITS = 22
 #: How sharply scores become confidences.
 SHARPNESS = 6.0
-_MARKUP = regex.compile(r"\[[^\]\n]*\]|\([^)\n]*\)|<[^>\n]*>|https?://\S+|^\s*\p{L}+ \p{N}+:", regex.MULTILINE)
+#: What is no speech: tags, links, names before a number and colon, and caption marks, which are short; longer text in brackets
+#: is speech.
+_MARKUP = regex.compile(r"\[[^\]\n]{0,40}\]|\([^)\n]{0,40}\)|<[^>\n]*>|https?://\S+|^\s*\p{L}+ \p{N}+:", regex.MULTILINE)
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
 
 # Names and codes of the languages in their usual spellings.

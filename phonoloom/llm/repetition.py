@@ -50,11 +50,13 @@ def repeated_share(words: Sequence[str], run: int) -> float:
     n = len(words)
     if n <= run:
         return 0.0
+    grams = list(zip(*(words[k:] for k in range(run))))
+    if len(set(grams)) == len(grams):
+        return 0.0
     seen: set[tuple[str, ...]] = set()
     covered = 0
     upto = 0  # words before this index are counted
-    for i in range(n - run + 1):
-        gram = tuple(words[i : i + run])
+    for i, gram in enumerate(grams):
         if gram in seen:
             covered += i + run - max(upto, i)
             upto = i + run

@@ -241,6 +241,12 @@ def test_position_inverts_the_schedule():
             assert (done if abs(tilt) < 1e-9 else 2 * done / (rest + np.sqrt(rest * rest + 4 * tilt * done))) == pytest.approx(t)
 
 
+def test_text_in_brackets_is_speech_unless_it_is_short():
+    assert langid.normal("(laughter) [00:01] <i>Hello</i>") == "hello"
+    assert langid.normal("(Nobody heard the street after dark, and the crew copied a voice.)").startswith("nobody heard the street")
+    assert langid.label_language("pt-BR") == "pt" and langid.label_language("hun") == "hu" and langid.label_language("und") is None and langid.label_language("unknown") is None
+
+
 def test_summed_gradients_are_those_of_all_rows():
     rng = np.random.default_rng(3)
     known = np.arange(0, 400, 2, dtype=np.int32)
