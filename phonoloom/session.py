@@ -104,8 +104,3 @@ def spread(df: DataFrame) -> DataFrame:
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     wanted = min(2 * cores, 1 + size // SPREAD_BYTES)
     return df.repartition(wanted) if wanted > splits else df
-
-
-def parallelism(spark: SparkSession) -> int:
-    """Partitions for a stage that is bound by CPU, not by bytes: a few for each core of the cluster."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)

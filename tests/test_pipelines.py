@@ -172,3 +172,29 @@ def test_random_names_differ(spark):
 
     df = spark.createDataFrame([(f"d/{random.random()}",) for _ in range(50)], "p string")
     assert df.select(curate.random_name(F.col("p"))).distinct().count() == 50
+
+
+def test_spread_shuffles_only_few_splits(spark, tmp_path):
+    from phonoloom import session
+
+    df = spark.range(100_000).select("id", F.repeat(F.sha2(F.col("id").cast("string"), 256), 4).alias("t"))
+    df.repartition(8).write.parquet(str(tmp_path / "many"))
+    df.coalesce(1).write.parquet(str(tmp_path / "one"))
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    many, one = (spark.read.parquet(str(tmp_path / n)) for n in ("many", "one"))
+    assert many.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert "Exchange" not in plan(session.spread(many)) and session.spread(many) is many
+    assert one.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism and "Exchange" in plan(session.spread(one))
+    assert session.spread(one).count() == 100_000
+
+
+def test_stored_tables_are_released(spark):
+    from phonoloom import session
+
+    kept = session.stored(spark.range(3))
+    where = Path(kept.inputFiles()[0].removeprefix("file:")).parent
+    before, session._kept[:] = [k for k in session._kept if k[1] != str(where) and where.name not in k[1]], [k for k in session._kept if where.name in k[1]]
+    assert where.exists()
+    session.release()
+    assert not where.exists()
+    session._kept[:] = before
