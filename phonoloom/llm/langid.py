@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phonoloom.llm.forms import bare
+from phonoloom.llm.sentences import remembered
 
 SAMPLE_ROWS, LANDMARKS, MAX_N, RIDGE = 5_000, 400, 4, 0.05
 #: Texts scored at once: their n-grams should stay in a core's cache.
@@ -58,9 +59,16 @@ def label_language(label: str | None) -> str | None:
     return _CODES.get(first) or (first if regex.fullmatch("[a-z]{2,3}", first) and first not in _NO_LANGUAGE else None)
 
 
+@remembered
+def _normal_word(word: str) -> str:
+    return _OTHER.sub(" ", bare(word)).strip()
+
+
 def normal(text: str) -> str:
     """Words of a text without markup, case, accents and odd characters, so that none of these changes the language."""
-    return _OTHER.sub(" ", bare(_MARKUP.sub(" ", text))).strip()
+    if any(c in text for c in "[(<:"):
+        text = _MARKUP.sub(" ", text)
+    return " ".join(filter(None, map(_normal_word, text.split())))
 
 
 def _codes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phonoloom.llm.forms import plain
+from phonoloom.llm.sentences import remembered
 
 WORD_RUN, CHAR_RUN, LEAST_SHARE = 4, 8, 0.5
 CHUNK_BYTES = 4_096
@@ -35,10 +36,14 @@ _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}ー]+")
 
 
+@remembered
+def _words_of(word: str) -> tuple[str, ...]:
+    return tuple(_WORD.findall(plain(word)))
+
+
 def units(text: str) -> tuple[list[str], int]:
     """Words of the plain form and the length of a run: words and four, or characters and eight."""
-    form = plain(text)
-    words = _WORD.findall(form)
+    words = [x for w in text.split() for x in _words_of(w)]
     whole = "".join(words)
     if not whole.isascii() and sum(map(len, _UNSPACED.findall(whole))) * 2 > len(whole):
         return list(whole), CHAR_RUN
