@@ -2,7 +2,8 @@
 
 Stand-ins: a label and a transcript with the same directory and base name are a text file beside its JSON; rows of
 aligned_transcripts are round-1 JSON files; documents are text files below their source; event values are durations in seconds;
-embeddings are signals, spectra and class scores.
+embeddings are signals, spectra and class scores. A row with a null path is no file and takes no part in queries on files; a row that
+comes twice counts once.
 """
 
 from __future__ import annotations
