@@ -41,9 +41,14 @@ def _sentence_model(spark: SparkSession, sf_dir: str) -> sentences.Model:
     return sentences.trained(table(spark, sf_dir, "lang_samples"), table(spark, sf_dir, "subject_samples"))
 
 
+def _rows_model(spark: SparkSession, sf_dir: str, rows: DataFrame) -> sentences.Model:
+    """A model of the clean samples and of all ``rows``, which have ``align_id`` and ``words``."""
+    return sentences.trained(table(spark, sf_dir, "lang_samples"), table(spark, sf_dir, "subject_samples"), rows=rows)
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "aligned_transcripts").select("align_id", _words().alias("words"))
-    return sentences.sentence_units(spread(rows), "align_id", F.col("words"), _sentence_model(spark, sf_dir))
+    rows = spread(table(spark, sf_dir, "aligned_transcripts").select("align_id", _words().alias("words")))
+    return sentences.sentence_units(rows, "align_id", F.col("words"), _rows_model(spark, sf_dir, rows))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

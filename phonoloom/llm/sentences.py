@@ -4,7 +4,9 @@ A span may only end at a *candidate*: a word that closes with a sentence mark, o
 own. The best segmentation maximises, jointly, the evidence at each chosen end (kind of mark, abbreviation class,
 case, how often the next word opens sentences and the last word closes them) and the evidence of each whole span
 (its length against the length model, balanced quotations, a reporting verb without a quotation). Opening, closing and
-length statistics are learned from clean samples: at most ``SAMPLE_ROWS`` texts, a fixed and documented bound.
+length statistics are counted over all rows of the clean samples and, where they are given, all rows to be segmented; each
+partition adds up its own, and the driver gets one row of sums for each key. In rows that are not clean, a word behind a doubtful
+mark or at the edge of a row or quotation is evidence of nothing.
 
 Defined results: every word, empty and null ones included, is in exactly one sentence; marks standing alone belong to
 the sentence they close; the last sentence ends with the row. A null or empty array has no sentences. Rows that come
@@ -14,10 +16,13 @@ twice count once. A span may hold any number of candidates; beginnings that cann
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from hashlib import blake2b
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
@@ -25,7 +30,12 @@ from pyspark.sql import functions as F
 
 from phonoloom.llm.forms import plain, tidy
 
-SAMPLE_ROWS = 5_000
+#: What is counted of a key: beginnings of sentences, other beginnings and those of them in upper case, ends of sentences, other ends.
+COUNTS = OPENING, INNER, INNER_UPPER, CLOSING, GOING = "opening", "inner", "inner_upper", "closing", "going"
+#: Keys that a partition counts before it hands them on, and keys whose counts a model keeps at hand.
+TALLY_KEYS = 100_000
+#: Keys of rows delivered more than once that are worth a broadcast.
+BROADCAST_ROWS = 100_000
 
 # Abbreviations by how they stand to the end of a sentence.
 TITLES = "mr mrs ms dr prof st sr sra srta sto sta hr fr frl mme mlle mgr ifj id özv szt д-р г гг св проф акад أ د م श्री डॉ प्रो पं सुश्री".split()
@@ -56,27 +66,49 @@ _TITLES, _INSIDE, _CLOSING, _REPORTING = map(_fold, (TITLES, INSIDE, CLOSING, RE
 _REPORT_CJK = [w for w in REPORTING if _NO_SPACES.match(w)]
 
 
+def hashed(key: str) -> int:
+    return int.from_bytes(blake2b(key.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 @dataclass
 class Model:
-    """Counts of words at the start, at the end and anywhere in sentences, and the log-length of sentences."""
+    """``COUNTS`` of the keys of words, by their sorted hashes, and the log-length of sentences."""
 
-    opening: Counter = field(default_factory=Counter)
-    closing: Counter = field(default_factory=Counter)
-    seen: Counter = field(default_factory=Counter)
-    inner_upper: Counter = field(default_factory=Counter)
+    hashes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    counts: np.ndarray = field(default_factory=lambda: np.zeros((0, len(COUNTS)), np.int64))
     length: dict = field(default_factory=lambda: {"words": (2.4, 0.35), "chars": (3.0, 0.3)})
 
+    def __post_init__(self) -> None:
+        self._known: dict[str, tuple[int, ...]] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_known": {}}
+
+    def of(self, key: str) -> tuple[int, ...]:
+        """The counts of a key."""
+        if (got := self._known.get(key)) is None:
+            h = hashed(key)
+            at = int(self.hashes.searchsorted(h))
+            got = tuple(self.counts[at].tolist()) if at < len(self.hashes) and self.hashes[at] == h else (0,) * len(COUNTS)
+            if len(self._known) >= TALLY_KEYS:
+                self._known.clear()
+            self._known[key] = got
+        return got
+
+    def seen(self, key: str) -> bool:
+        first, inner, *_ = self.of(key)
+        return first + inner > 0
+
     def opens(self, key: str, upper: bool) -> float:
         """Log odds that a sentence begins with a word; one in upper case is only held against others in upper case."""
-        if key not in self.seen:
+        first, inner, inner_upper, _, _ = self.of(key)
+        if not first + inner:
             return 0.0
-        first = self.opening.get(key, 0)
-        inner = self.inner_upper.get(key, 0) if upper else self.seen[key] - first
-        return max(-3.0, min(3.0, math.log((first + 0.3) / (inner + 0.3))))
+        return max(-3.0, min(3.0, math.log((first + 0.3) / ((inner_upper if upper else inner) + 0.3))))
 
     def closes(self, key: str) -> float:
-        n = self.seen.get(key, 0)
-        return 0.0 if not n else max(-2.0, min(2.0, math.log((self.closing.get(key, 0) + 0.3) / (n - self.closing.get(key, 0) + 0.3))))
+        first, inner, _, last, going = self.of(key)
+        return 0.0 if not first + inner else max(-2.0, min(2.0, math.log((last + 0.3) / (going + 0.3))))
 
 
 class _Memory(dict):
@@ -152,8 +184,7 @@ def _next_key(words: Sequence[str], i: int) -> tuple[str, str]:
         return "", ""
     w = words[i][len(_edges(words[i])[0]) :]
     if unspaced(w):
-        more = "".join(words[i : i + 4])
-        return _EDGE.sub("", more)[:2], w
+        return core("".join(words[i : i + 4]))[:2], w
     return folded(w), w
 
 
@@ -164,7 +195,7 @@ def _last_key(words: Sequence[str], i: int) -> str:
     if i < 0:
         return ""
     if unspaced(core(words[i])):
-        return _EDGE.sub("", "".join(words[max(0, i - 3) : i + 1]))[-2:]
+        return core("".join(words[max(0, i - 3) : i + 1]))[-2:]
     return folded(words[i])
 
 
@@ -259,7 +290,7 @@ def boundary_score(model: Model, words: Sequence[str], at: int, kind: str, close
     if closes and following[:1] in QUOTATIVE:
         score -= 6.0
     if first.isupper():
-        score += 1.5 + (0.5 if key not in model.seen else 2.5 if sure else 0.0)
+        score += 1.5 + (0.5 if not model.seen(key) else 2.5 if sure else 0.0)
     elif first.islower():
         score -= 3.0
     return score
@@ -361,47 +392,138 @@ def _quoted(words: Sequence[str], a: int, b: int, depth: Sequence[int]) -> bool:
     return any(depth[k] != start for k in range(a, b + 1)) or any(w and w[0] in OPENERS + EITHER for w in words[a : b + 1])
 
 
+@remembered
+def _facts(word: str) -> tuple[bool, str, bool, bool] | None:
+    """Of a word, None for marks: whether it is in a script without spaces, its key else, whether it is in upper case and begins a quotation."""
+    if not core(word):
+        return None
+    head = _edges(word)[0]
+    w = word[len(head) :]
+    return unspaced(w) or unspaced(core(word)), folded(w), w[:1].isupper(), any(x in OPENERS or x in EITHER for x in head)
+
+
+@remembered
+def _quotes(word: str) -> bool:
+    return any(x in OPENERS or x in EITHER or x in CLOSERS for x in word)
+
+
+class Tally:
+    """Counts of lists of words, split where a mark can hardly be anything else."""
+
+    def __init__(self) -> None:
+        self.keys: defaultdict[str, list[int]] = defaultdict(lambda: [0] * len(COUNTS))
+        self.lengths: Counter = Counter()
+
+    def add(self, words: Sequence[str], whole: bool) -> None:
+        """Counts a list of words. ``whole``: a clean text, which has sentence ends at sure marks and its edges and nowhere else."""
+        sure, unsure = 1, 2
+        mark = {}
+        for i, kind, closes in scan(words)[0]:
+            if kind in ("hard", "plain") and not _next_key(words, i + 1)[1][:1].islower() and (whole or not closes):
+                mark[i] = sure
+            elif not whole:
+                mark[i] = unsure
+        real = [(k, f) for k, f in enumerate(map(_facts, words)) if f]
+        if not real:
+            return
+        edge, keys = sure if whole else unsure, self.keys
+        before, begun, first = edge, whole, 1
+        for n, (k, (dense, key, upper, _)) in enumerate(real, 1):
+            begins = keys[_next_key(words, k)[0] if dense else key]
+            ends = keys[_last_key(words, k)] if dense else begins
+            if not before:
+                begins[1] += 1
+                begins[2] += upper
+            elif before == sure:
+                begins[0] += 1
+                begun, first = True, n
+            else:
+                begun = False
+            if n == len(real):
+                after = edge
+            else:
+                following, (_, _, _, quoted) = real[n]
+                after = mark.get(k, 0) if following == k + 1 else max(mark.get(i, 0) for i in range(k, following))
+                if not after and not whole and (quoted or following > k + 1 and any(map(_quotes, words[k + 1 : following]))):
+                    after = unsure
+            if not after:
+                ends[4] += 1
+            elif after == sure:
+                ends[3] += 1
+                if begun:
+                    self.lengths["chars" if unspaced(core(words[real[first - 1][0]])) else "words", n + 1 - first] += 1
+            before = after
+
+    def rows(self) -> list[tuple]:
+        """``unit, key`` and counts: of keys by their hashes, and of lengths in a unit by the length."""
+        return [("", hashed(k), *c) for k, c in self.keys.items()] + [(unit, size, c, 0, 0, 0, 0) for (unit, size), c in self.lengths.items()]
+
+
+def _model(unit: Sequence[str], key: np.ndarray, counts: np.ndarray) -> Model:
+    """A model of the rows of a tally, one for each unit and key."""
+    unit = np.asarray(unit, object)
+    at = np.flatnonzero(unit == "")
+    at = at[np.argsort(key[at])]
+    model = Model(key[at], counts[at])
+    for name in model.length:
+        sizes = sorted(zip(key[unit == name].tolist(), counts[unit == name, 0].tolist()))
+        total = sum(c for _, c in sizes)
+        if total > 20:
+            mean = math.fsum(c * math.log(n) for n, c in sizes) / total
+            model.length[name] = (mean, max(0.35, (math.fsum(c * (math.log(n) - mean) ** 2 for n, c in sizes) / total) ** 0.5))
+    return model
+
+
+def _clean_words(text: str) -> list[str]:
+    return [tidy(w) for w in split_words(text)]
+
+
 def train(texts: Iterable[str]) -> Model:
-    """Statistics of clean texts, split where a mark can hardly be anything else."""
-    model = Model()
-    lengths: dict[str, list[float]] = {"words": [], "chars": []}
+    """A model of all of some clean texts."""
+    tally = Tally()
     for text in texts:
-        words = [tidy(w) for w in split_words(text)]
-        starts, ends = [0], []
-        for i, kind, _ in scan(words)[0]:
-            _, following = _next_key(words, i + 1)
-            cased = following[:1].isupper() or not following[:1].islower()
-            if kind in ("hard", "plain") and cased:
-                ends.append(i)
-                starts.append(i + 1)
-        ends.append(len(words) - 1)
-        for a, b in zip(starts, ends):
-            real = [k for k in range(a, b + 1) if core(words[k])]
-            if not real:
-                continue
-            cjk = unspaced(core(words[real[0]]))
-            model.opening[_next_key(words, real[0])[0]] += 1
-            model.closing[_last_key(words, real[-1])] += 1
-            for k in real:
-                inner, written = _next_key(words, k)
-                model.seen[inner] += 1
-                if k != real[0] and written[:1].isupper():
-                    model.inner_upper[inner] += 1
-            lengths["chars" if cjk else "words"].append(math.log(len(real)))
-    for k, xs in lengths.items():
-        if len(xs) > 20:
-            mean = sum(xs) / len(xs)
-            model.length[k] = (mean, max(0.35, (sum((x - mean) ** 2 for x in xs) / len(xs)) ** 0.5))
-    return model
+        tally.add(_clean_words(text), True)
+    rows = tally.rows()
+    return _model([r[0] for r in rows], np.array([r[1] for r in rows], np.int64), np.array([r[2:] for r in rows], np.int64).reshape(-1, len(COUNTS)))
+
 
+def _tallied(df: DataFrame, whole: bool) -> DataFrame:
+    """Sums of the partitions of ``words`` (of ``whole`` texts: one text), for each number of ``copies`` that its rows come in."""
+    columns = ["copies", "unit", "key", *COUNTS]
 
-def trained(*samples: DataFrame, column: str = "text", key: str = "sample_id") -> Model:
-    """A model of at most ``SAMPLE_ROWS`` rows of each clean sample, the first in the order of their keys."""
-    texts: list[str] = []
-    for s in samples:
-        rows = s.filter(F.col(column).isNotNull()).select(key, column).orderBy(key, column).limit(SAMPLE_ROWS).collect()
-        texts += [r[1] for r in rows]
-    return train(texts)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tallies: dict[int, Tally] = {}
+        for batch in batches:
+            for words, copies in zip(batch["words"], batch["copies"].tolist()):
+                tally = tallies.setdefault(copies, Tally())
+                tally.add(_clean_words(words) if whole else [clean(w) if w else "" for w in words], whole)
+                if len(tally.keys) >= TALLY_KEYS:
+                    yield pd.DataFrame([(copies, *r) for r in tallies.pop(copies).rows()], columns=columns)
+        yield pd.DataFrame([(c, *r) for c, t in tallies.items() for r in t.rows()], columns=columns)
+
+    shape = "copies bigint, unit string, key bigint, " + ", ".join(f"{c} bigint" for c in COUNTS)
+    return df.filter(F.col("words").isNotNull()).select("words", "copies").mapInPandas(run, shape)
+
+
+def _with_copies(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with the number of rows that share its key; rows with a null key are left out."""
+    df = df.filter(F.col(key).isNotNull())
+    again = df.groupBy(key).agg(F.count("*").alias("copies")).filter("copies > 1")
+    again = F.broadcast(again) if again.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else again
+    return df.join(again, key, "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+
+
+def trained(*samples: DataFrame, column: str = "text", rows: DataFrame | None = None, key: str = "align_id", words: str = "words") -> Model:
+    """A model of all rows of clean samples and, where they are given, of all ``rows`` with lists of words; one that comes in
+    copies of the same key counts once."""
+    parts = [_tallied(s.select(F.col(column).alias("words"), F.lit(1).cast("bigint").alias("copies")), True) for s in samples]
+    if rows is not None:
+        parts.append(_tallied(_with_copies(rows.select(key, F.col(words).alias("words")), key), False))
+    # Each copy of a row has been counted, so their sums are whole multiples.
+    sums = [F.round(F.sum(F.col(c) / F.col("copies"))).cast("bigint").alias(c) for c in COUNTS]
+    got = reduce(DataFrame.unionByName, parts).groupBy("unit", "key").agg(*sums).toArrow()
+    counts = np.stack([got.column(c).to_numpy() for c in COUNTS], 1) if got.num_rows else np.zeros((0, len(COUNTS)), np.int64)
+    return _model(got.column("unit").to_pylist(), got.column("key").to_numpy(), counts)
 
 
 def sentence_units(df: DataFrame, key: str, words: Column, model: Model) -> DataFrame:

@@ -71,6 +71,37 @@ def test_sentence_units(spark):
     assert sorted(map(tuple, got.collect())) == [(1, 0, 0), (1, 1, 1)]
 
 
+def test_sentence_model_counts_every_row(spark):
+    """Clean samples without a bound, and all rows: what only they show decides a doubtful mark."""
+    texts = [(i, "The crew copied a voice.") for i in range(5_100)] + [(9_000, "Zolnar heard the street. Zolnar copied it.")]
+    samples = spark.createDataFrame(texts, "sample_id long, text string").repartition(3)
+    model = sentences.trained(samples)
+    assert model.opens("zolnar", True) > 1 and model.of("zolnar") == (2, 0, 0, 0, 2)
+    assert model.of("crew") == (0, 5_100, 0, 0, 5_100) and model.of("voice") == (0, 5_100, 0, 5_100, 0)
+    local = sentences.train([t for _, t in texts])
+    assert (model.hashes == local.hashes).all() and (model.counts == local.counts).all() and model.length == local.length
+    words = "उसने सुना। फिर उसने देखा। फिर वह गया।".split()
+    doubtful = "उसने वह घर देखा... फिर वह घर गया।".split()
+    rows = [(i, words) for i in range(30)] + [(30, doubtful), (30, doubtful), (30, doubtful), (31, None), (None, doubtful)]
+    rows = spark.createDataFrame(rows, "align_id long, words array<string>").repartition(4)
+    learned = sentences.trained(samples, rows=rows)
+    assert sentences.segment(model, doubtful) == [(0, 7)] and sentences.segment(learned, doubtful) == [(0, 3), (4, 7)]
+    assert learned.of("फिर")[:2] == (60, 0) and learned.of("घर")[:2] == (0, 2)  # a row that comes in copies counts once
+    assert sentences.trained(samples.limit(0), rows=rows.limit(0)).opens("crew", False) == 0.0
+
+
+def test_sentence_queries_learn_from_their_rows(spark, tmp_path):
+    from phonoloom.llm import queries
+
+    words = "उसने सुना। फिर उसने देखा। फिर वह गया।".split()
+    doubtful = "उसने वह घर देखा... फिर वह घर गया।".split()
+    rows = [(i, [(w, float(k), k + 1.0) for k, w in enumerate(words)]) for i in range(30)] + [(30, [(w, 5.0 * k, 5.0 * k + 5) for k, w in enumerate(doubtful)])]
+    spark.createDataFrame(rows, "align_id long, word_segments array<struct<word string, start double, end double>>").write.parquet(f"{tmp_path}/aligned_transcripts.parquet")
+    for name in ("lang_samples", "subject_samples"):
+        spark.createDataFrame([(1, "The crew copied a voice.")], "sample_id long, text string").write.parquet(f"{tmp_path}/{name}.parquet")
+    assert {(r.first_word, r.last_word) for r in queries.p2_found(spark, str(tmp_path)).filter("align_id = 30").collect()} == {(0, 3), (4, 7)}
+
+
 def line(*spans, after=()):
     return pieces.Timeline([s for s, _ in spans], [e for _, e in spans], [1 if i in after else 0 for i in range(len(spans))])
 
