@@ -51,12 +51,20 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentence_units(rows, "align_id", F.col("words"), _rows_model(spark, sf_dir, rows))
 
 
+def _p3(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, sentences.Model]:
+    """The rows, and a model of all of them, also of those within the limit."""
+    rows = table(spark, sf_dir, "aligned_transcripts")
+    return spread(rows.select("align_id", "word_segments")), _rows_model(spark, sf_dir, spread(rows.select("align_id", _words().alias("words"))))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.cut_kinds(spread(table(spark, sf_dir, "aligned_transcripts").select("align_id", "word_segments")), "align_id", _sentence_model(spark, sf_dir))
+    rows, model = _p3(spark, sf_dir)
+    return pieces.cut_kinds(rows, "align_id", model)
 
 
 def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.pieces(spread(table(spark, sf_dir, "aligned_transcripts").select("align_id", "word_segments")), "align_id", _sentence_model(spark, sf_dir))
+    rows, model = _p3(spark, sf_dir)
+    return pieces.pieces(rows, "align_id", model)
 
 
 def p3_check(spark: SparkSession, sf_dir: str) -> DataFrame:

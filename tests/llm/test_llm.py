@@ -100,6 +100,10 @@ def test_sentence_queries_learn_from_their_rows(spark, tmp_path):
     for name in ("lang_samples", "subject_samples"):
         spark.createDataFrame([(1, "The crew copied a voice.")], "sample_id long, text string").write.parquet(f"{tmp_path}/{name}.parquet")
     assert {(r.first_word, r.last_word) for r in queries.p2_found(spark, str(tmp_path)).filter("align_id = 30").collect()} == {(0, 3), (4, 7)}
+    # Eight words of five seconds: cut at the end that only the other rows show, the parts fit.
+    assert [tuple(r) for r in queries.p3_found(spark, str(tmp_path)).collect()] == [(30, "natural")]
+    cuts = queries.p3_pieces(spark, str(tmp_path)).orderBy("piece_no").select("first_word", "last_word", "repeated_words").collect()
+    assert [tuple(r) for r in cuts] == [(0, 3, 0), (2, 7, 2)]
 
 
 def line(*spans, after=()):
